@@ -1,9 +1,10 @@
 """Debut cohorts, their observation window and how far each debut climbs.
 
-Hot keys: weekly positions are reduced to one row per (song, week) before they
-are grouped by song, so a song has at most one row per week; and a cohort has
-fewer than the bulk threshold of debuts per (credit, week), because bulk weeks
-are excluded. Neither side of the join below can pile up on one key.
+Hot keys: a cohort has fewer than the bulk threshold of debuts per (credit,
+week), because bulk weeks are excluded, so a chart row matches a bounded number
+of debuts. The join key carries a time slice, which spreads a song with very
+many rows over its slices; the aggregation after it re-shuffles anyway, so AQE
+is free to split a slice that is still too large.
 """
 
 from collections.abc import Sequence
@@ -12,7 +13,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from upcharts.functions.dates import month_start, plus_weeks, weeks_between
+from upcharts.functions.dates import month_start, weeks_between
 
 WINDOW_WEEKS = 8
 
@@ -53,9 +54,22 @@ def in_cohort(
     return condition
 
 
-def debut_cohort(history: DataFrame, **cohort) -> DataFrame:
-    """Cohort debuts: song, primary artist, debut date and rank, tags."""
-    return history.where(in_cohort(history, **cohort)).select(
+def debut_rows(history: DataFrame) -> DataFrame:
+    """Chart rows any cohort may draw from: debuts outside bulk releases.
+
+    Worth storing next to the history: reports then read one row per song for
+    the cohort, and Catalyst knows its size when it picks the join.
+    """
+    return history.where((F.col("weeks_on_chart") == 1) & ~F.col("is_release_week_bulk_entry"))
+
+
+def debut_cohort(history: DataFrame, debuts: DataFrame | None = None, **cohort) -> DataFrame:
+    """Cohort debuts: song, primary artist, debut date and rank, tags.
+
+    ``debuts`` is the stored result of ``debut_rows(history)``, if there is one.
+    """
+    rows = history if debuts is None else debuts
+    return rows.where(in_cohort(history, **cohort)).select(
         *SONG,
         "primary_artist_used",
         F.col("chart_date").alias("debut_date"),
@@ -64,18 +78,27 @@ def debut_cohort(history: DataFrame, **cohort) -> DataFrame:
     )
 
 
-def weekly_positions(history: DataFrame) -> DataFrame:
-    """Best rank per song and week."""
-    return history.groupBy(*SONG, "chart_date").agg(F.min("rank").alias("rank"))
+def observation_window(debuts: DataFrame, history: DataFrame, weeks: int = WINDOW_WEEKS) -> DataFrame:
+    """Debuts with every position from the debut week to ``weeks`` later, inclusive.
 
+    Time is cut into slices one window long, so a window touches at most two of
+    them: each debut is looked up in two slices, each chart row stays in one.
+    """
+    days = 7 * weeks
 
-def observation_window(debuts: DataFrame, history: DataFrame, weeks: int = WINDOW_WEEKS) -> DataFrame:
-    """Debuts with every position from the debut week to ``weeks`` later, inclusive."""
-    positions = weekly_positions(history)
-    inside = F.col("chart_date").between(F.col("debut_date"), plus_weeks("debut_date", weeks))
+    def time_slice(d: Column) -> Column:
+        return F.floor(F.unix_date(d) / (days + 1))
+
+    debut, last = F.col("debut_date"), F.date_add("debut_date", days)
+    slices = F.array_distinct(F.array(time_slice(debut), time_slice(last)))
+    positions = history.select(
+        *SONG, "chart_date", "rank", time_slice(F.col("chart_date")).alias("time_slice")
+    )
     return (
-        debuts.join(positions, SONG)
-        .where(inside)
+        debuts.withColumn("time_slice", F.explode(slices))
+        .join(positions, [*SONG, "time_slice"])
+        .where(F.col("chart_date").between(debut, last))
+        .drop("time_slice")
         .withColumn("week_number", weeks_between("chart_date", "debut_date"))
     )
 
@@ -85,16 +108,21 @@ def best_rank(
     keys: Sequence[str] = tuple(GENRE_KEYS),
     weeks: int = WINDOW_WEEKS,
     strategy: str = "join",
+    debuts: DataFrame | None = None,
     **cohort,
 ) -> DataFrame:
     """``*keys, best_rank_8wk``: best rank of each cohort debut inside its window.
 
-    ``strategy="join"`` joins debuts to positions; ``"window"`` takes a running
-    minimum per song without joining. Results are equal.
+    ``strategy="join"`` joins debuts to positions: one shuffle of the history,
+    none when the debuts turn out small enough to broadcast. ``"window"`` takes
+    a running minimum per song without a join; rows are first reduced to one per
+    (song, week, debut), which costs a second shuffle. Results are equal.
     """
     if strategy == "join":
-        debuts = debut_cohort(history, weeks=weeks, **cohort).select(*{*keys, "debut_date"})
-        observed = observation_window(debuts, history, weeks)
+        chosen = debut_cohort(history, debuts, weeks=weeks, **cohort).select(
+            *dict.fromkeys([*keys, "debut_date"])
+        )
+        observed = observation_window(chosen, history, weeks)
         return observed.groupBy(*keys).agg(F.min("rank").alias("best_rank_8wk"))
     if strategy != "window":
         raise ValueError(f"unknown strategy: {strategy}")

@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from upcharts.functions.credits import primary_artist
 from upcharts.functions.tags import no_tags
+from upcharts.schemas import ARTIST_METADATA
 
 SCORE_THRESHOLD = 80
 
+METADATA_COLUMNS = ARTIST_METADATA.fieldNames()
+
 
 def unique_credits(entries: DataFrame) -> DataFrame:
     return entries.select("artist").distinct()
@@ -49,16 +52,16 @@ def best_candidate(candidates: DataFrame) -> DataFrame:
     )
 
 
-def match_artists(primaries: DataFrame, candidates: DataFrame, threshold: int = SCORE_THRESHOLD) -> DataFrame:
-    """One row per lead artist: status, score, mbid, tags, found, error.
+def match_artists(names: DataFrame, candidates: DataFrame, threshold: int = SCORE_THRESHOLD) -> DataFrame:
+    """``names`` (any rows with primary_artist_used) plus status, score, mbid, tags, found, error.
 
     The best answer is taken first and must then reach ``threshold``. A failed
     lookup stays apart from a name that truly has no match.
     """
     found = F.coalesce(F.col("score") >= threshold, F.lit(False)) & F.col("error").isNull()
     status = F.when(F.col("error").isNotNull(), "failed").when(found, "matched").otherwise("unmatched")
-    return primaries.join(best_candidate(candidates), "primary_artist_used", "left").select(
-        "primary_artist_used",
+    return names.join(best_candidate(candidates), "primary_artist_used", "left").select(
+        *names.columns,
         status.alias("status"),
         "score",
         F.when(found, F.col("artist_id")).alias("mbid"),
@@ -70,9 +73,7 @@ def match_artists(primaries: DataFrame, candidates: DataFrame, threshold: int =
 
 def fan_out(credits: DataFrame, results: DataFrame) -> DataFrame:
     """Match results keyed by every original credit (the artist metadata table)."""
-    return credits.join(results, "primary_artist_used").select(
-        "artist", "primary_artist_used", "mbid", "tags", "found", "error"
-    )
+    return credits.join(results, "primary_artist_used").select(*METADATA_COLUMNS)
 
 
 def match_status(results: DataFrame) -> DataFrame:
@@ -81,10 +82,14 @@ def match_status(results: DataFrame) -> DataFrame:
 
 
 def lookup_artists(entries: DataFrame, candidates: DataFrame, threshold: int = SCORE_THRESHOLD) -> DataFrame:
-    """Artist metadata for all credits of the chart; each lead artist is resolved once."""
+    """Artist metadata for all credits of the chart.
+
+    Answers are reduced to one per name before the join, so each lead artist is
+    resolved once; joining them to the distinct credits directly makes the
+    separate fan-out step unnecessary, and the credit is parsed once per credit.
+    """
     credits = credit_map(unique_credits(entries))
-    primaries = credits.select("primary_artist_used").distinct()
-    return fan_out(credits, match_artists(primaries, candidates, threshold))
+    return match_artists(credits, candidates, threshold).select(*METADATA_COLUMNS)
 
 
 def match_summary(entries: DataFrame, metadata: DataFrame) -> DataFrame:

@@ -1,13 +1,13 @@
-"""The chart warehouse: raw entries, artist metadata and chart_history, built once."""
+"""The chart warehouse: raw entries, artist metadata, chart_history and its debuts."""
 
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from upcharts.operators.cohort import debut_rows
 from upcharts.operators.matching import lookup_artists
 from upcharts.operators.staging import stage_history
-from upcharts.session import fresh_path, materialise
-from upcharts.sources.history import append_history, read_history
+from upcharts.session import materialise
 from upcharts.sources.sales import artist_candidates, chart_entries
 
 
@@ -16,6 +16,7 @@ class Warehouse:
     entries: DataFrame
     metadata: DataFrame
     history: DataFrame
+    debuts: DataFrame
 
 
 _built: dict[tuple[str, str], Warehouse] = {}
@@ -29,9 +30,12 @@ def build_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """
     entries = materialise(chart_entries(spark, sf_dir), "entries")
     metadata = materialise(lookup_artists(entries, artist_candidates(spark, sf_dir)), "metadata")
-    path = fresh_path(spark, "chart_history")
-    append_history(stage_history(entries, metadata), path)
-    return Warehouse(entries, metadata, read_history(spark, path))
+    staged = stage_history(entries, metadata)
+    # range-clustered by week: file and row-group statistics prune weeks without
+    # one folder per week, and a heavy week is split over several files
+    history = materialise(staged.repartitionByRange("chart_date", "rank"), "chart_history")
+    debuts = materialise(debut_rows(history), "debuts")
+    return Warehouse(entries, metadata, history, debuts)
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:

@@ -2,6 +2,7 @@
 
 from collections.abc import Callable
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +36,16 @@ def on_history(name: str, operator: Callable[[DataFrame], DataFrame]) -> None:
     QUERIES[name] = lambda spark, sf_dir: operator(warehouse(spark, sf_dir).history)
 
 
+def on_debuts(name: str, operator: Callable[..., DataFrame]) -> None:
+    """Register an operator that takes chart_history and the stored debut rows."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        base = warehouse(spark, sf_dir)
+        return operator(base.history, debuts=base.debuts)
+
+    QUERIES[name] = run
+
+
 def _joined(df: DataFrame, *arrays: str) -> DataFrame:
     return df.withColumns({c: F.array_join(c, "|") for c in arrays})
 
@@ -162,18 +173,22 @@ def model_view(spark, sf_dir):
 # --- calendar and completeness -------------------------------------------------
 
 
-def _debut_weeks(history: DataFrame) -> DataFrame:
-    return cohort.debut_cohort(history).select(F.col("debut_date").alias("chart_date"))
+def _debut_weeks(history: DataFrame, debuts: DataFrame) -> DataFrame:
+    return cohort.debut_cohort(history, debuts).select(F.col("debut_date").alias("chart_date"))
 
 
 on_history("week_calendar", lambda h: weeks.week_calendar(h, CALENDAR_START))
-on_history(
+on_debuts(
     "missing_weeks",
-    lambda h: weeks.missing_weeks(weeks.week_calendar(h, CALENDAR_START), _debut_weeks(h)),
+    lambda h, debuts: weeks.missing_weeks(
+        weeks.week_calendar(h, CALENDAR_START), _debut_weeks(h, debuts)
+    ),
 )
-on_history(
+on_debuts(
     "backfill_summary",
-    lambda h: weeks.backfill_summary(weeks.week_calendar(h, CALENDAR_START), _debut_weeks(h)),
+    lambda h, debuts: weeks.backfill_summary(
+        weeks.week_calendar(h, CALENDAR_START), _debut_weeks(h, debuts)
+    ),
 )
 
 
@@ -235,9 +250,12 @@ def staging_summary(spark, sf_dir):
 # --- entity resolution -------------------------------------------------------------
 
 
+def _credit_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warehouse(spark, sf_dir).metadata.select("artist", "primary_artist_used")
+
+
 def _matched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    credits = matching.credit_map(matching.unique_credits(warehouse(spark, sf_dir).entries))
-    primaries = credits.select("primary_artist_used").distinct()
+    primaries = _credit_map(spark, sf_dir).select("primary_artist_used").distinct()
     return matching.match_artists(primaries, sales.artist_candidates(spark, sf_dir))
 
 
@@ -263,8 +281,8 @@ def match_status(spark, sf_dir):
 
 @query
 def match_fanout(spark, sf_dir):
-    entries = warehouse(spark, sf_dir).entries
-    return _joined(matching.lookup_artists(entries, sales.artist_candidates(spark, sf_dir)), "tags")
+    results = _matched(spark, sf_dir)
+    return _joined(matching.fan_out(_credit_map(spark, sf_dir), results), "tags")
 
 
 @query
@@ -276,26 +294,34 @@ def match_summary(spark, sf_dir):
 # --- cohorts and climbs --------------------------------------------------------------
 
 
-on_history("debut_cohort", lambda h: _joined(cohort.debut_cohort(h), "genre_tags"))
-on_history(
+def _observed(history: DataFrame, debuts: DataFrame) -> DataFrame:
+    return cohort.observation_window(cohort.debut_cohort(history, debuts), history)
+
+
+on_debuts("debut_cohort", lambda h, debuts: _joined(cohort.debut_cohort(h, debuts), "genre_tags"))
+on_debuts(
     "artist_debut_cohort",
-    lambda h: cohort.debut_cohort(h, require_tags=False, require_primary=True).drop("genre_tags"),
+    lambda h, debuts: cohort.debut_cohort(
+        h, debuts, require_tags=False, require_primary=True
+    ).drop("genre_tags"),
 )
-on_history(
-    "observation_window",
-    lambda h: cohort.observation_window(cohort.debut_cohort(h).drop("genre_tags"), h),
-)
-on_history("best_rank_8wk", lambda h: _joined(cohort.best_rank(h), "genre_tags"))
+on_debuts("observation_window", lambda h, debuts: _observed(h, debuts).drop("genre_tags"))
+on_debuts("best_rank_8wk", lambda h, debuts: _joined(cohort.best_rank(h, debuts=debuts), "genre_tags"))
 on_history("best_rank_window", lambda h: _joined(cohort.best_rank(h, strategy="window"), "genre_tags"))
-on_history("climb_by_tag", cohort.climb_by_tag)
-on_history(
+on_debuts("climb_by_tag", cohort.climb_by_tag)
+on_debuts(
     "genre_family_map",
-    lambda h: cohort.climb_by_tag(h).select("title", "artist", "genre", genre_family("genre").alias("genre_family")),
+    lambda h, debuts: cohort.climb_by_tag(h, debuts=debuts).select(
+        "title", "artist", "genre", genre_family("genre").alias("genre_family")
+    ),
 )
-on_history("top_artist_share", lambda h: reports.top_artist_share(reports.climbs_by_artist(h)))
-on_history(
+on_debuts(
+    "top_artist_share",
+    lambda h, debuts: reports.top_artist_share(reports.climbs_by_artist(h, debuts=debuts)),
+)
+on_debuts(
     "week_number",
-    lambda h: cohort.observation_window(cohort.debut_cohort(h), h).select(
+    lambda h, debuts: _observed(h, debuts).select(
         "title",
         "artist",
         "debut_date",
@@ -305,9 +331,9 @@ on_history(
         weeks_between(F.date_add("chart_date", 1), "debut_date").alias("week_number_next_day"),
     ),
 )
-on_history(
+on_debuts(
     "debut_month",
-    lambda h: cohort.debut_cohort(h).select(
+    lambda h, debuts: cohort.debut_cohort(h, debuts).select(
         "title",
         "artist",
         "debut_date",
@@ -319,15 +345,13 @@ on_history(
 # --- reports ---------------------------------------------------------------------
 
 
-on_history("genre_climb", reports.genre_climb)
-on_history("genre_family_climb", reports.genre_family_climb)
-on_history(
-    "genre_family_climb_songs", lambda h: reports.genre_family_climb(h, count_mode="songs")
-)
-on_history("recurrence_summary", reports.recurrence_summary)
-on_history("trajectory_shape", reports.trajectory_shape)
-on_history("artist_recurrence", reports.artist_recurrence)
-on_history("artist_recurrence_all", lambda h: reports.artist_recurrence(h, min_songs=1))
+on_debuts("genre_climb", reports.genre_climb)
+on_debuts("genre_family_climb", reports.genre_family_climb)
+on_debuts("genre_family_climb_songs", partial(reports.genre_family_climb, count_mode="songs"))
+on_debuts("recurrence_summary", reports.recurrence_summary)
+on_debuts("trajectory_shape", reports.trajectory_shape)
+on_debuts("artist_recurrence", reports.artist_recurrence)
+on_debuts("artist_recurrence_all", partial(reports.artist_recurrence, min_songs=1))
 
 # --- movement, robustness, profiles ------------------------------------------------
 
@@ -343,8 +367,8 @@ on_history("genre_delta_naive", movement.genre_delta_naive)
 on_history("genre_delta_robust", movement.genre_delta_robust)
 on_history("genre_delta_ci", movement.genre_delta_ci)
 on_history("genre_sign_flip", movement.genre_sign_flip)
-on_history("genre_climb_robust", movement.genre_climb_robust)
-on_history("method_agreement", movement.method_agreement)
+on_debuts("genre_climb_robust", movement.genre_climb_robust)
+on_debuts("method_agreement", movement.method_agreement)
 on_history("cohort_funnel", profile.cohort_funnel)
 on_history("corpus_summary", profile.corpus_summary)
 
@@ -367,15 +391,18 @@ def tag_clusters(spark, sf_dir):
 # --- trajectories ------------------------------------------------------------------
 
 
-on_history("song_trajectory", trajectory.song_trajectory)
-on_history("weeks_to_peak", lambda h: trajectory.weeks_to_peak(trajectory.song_trajectory(h)))
-on_history(
+on_debuts("song_trajectory", trajectory.song_trajectory)
+on_debuts(
+    "weeks_to_peak",
+    lambda h, debuts: trajectory.weeks_to_peak(trajectory.song_trajectory(h, debuts=debuts)),
+)
+on_debuts(
     "climb_slope",
-    lambda h: trajectory.climb_slope(trajectory.song_trajectory(h)).withColumn(
-        "climb_per_week", F.round("climb_per_week", 4)
-    ),
+    lambda h, debuts: trajectory.climb_slope(
+        trajectory.song_trajectory(h, debuts=debuts)
+    ).withColumn("climb_per_week", F.round("climb_per_week", 4)),
 )
-on_history("genre_weekly_curve", trajectory.family_weekly_curve)
+on_debuts("genre_weekly_curve", trajectory.family_weekly_curve)
 
 # --- data quality and ad-hoc SQL -----------------------------------------------------
 

@@ -16,6 +16,8 @@ def build_session(app_name: str = "upcharts", master: str | None = None, **conf:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Parquet unpacks to a multiple of its file size; broadcast choices should know
+        "spark.sql.sources.fileCompressionFactor": "3",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.shuffle.partitions": "2000" if master is None else "8",
         "spark.ui.enabled": "false",

@@ -38,7 +38,10 @@ def rank_within_week(volumes: DataFrame) -> DataFrame:
     ahead of them.
     """
     group = ["chart_date", "volume", "block"]
-    rows = volumes.withColumn("block", F.floor(F.col("song_key") / _RANK_BLOCK))
+    # never NULL, so the join below adds no filter on it and both of its sides
+    # read one shuffle of the volumes
+    block = F.coalesce(F.floor(F.col("song_key") / _RANK_BLOCK), F.lit(0))
+    rows = volumes.withColumn("block", block)
     ahead = Window.partitionBy("chart_date").orderBy(F.desc("volume"), "block")
     groups = (
         rows.groupBy(*group)
