@@ -15,8 +15,9 @@ _BLOCK = 4096
 
 
 def value_histogram(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Rows per (keys, value): columns ``*keys, value, freq``."""
-    return df.groupBy(*keys, F.col(value).cast("long").alias("value")).agg(F.count("*").alias("freq"))
+    """Rows per (keys, value): columns ``*keys, value, freq``; NULL values are left out."""
+    known = df.where(F.col(value).isNotNull())
+    return known.groupBy(*keys, F.col(value).cast("long").alias("value")).agg(F.count("*").alias("freq"))
 
 
 def histogram_median(hist: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -26,7 +27,9 @@ def histogram_median(hist: DataFrame, keys: Sequence[str]) -> DataFrame:
     inside that block, so neither running sum covers more than one row per block
     or ``_BLOCK`` rows.
     """
-    blocked = hist.withColumn("block", F.floor(F.col("value") / _BLOCK))
+    # never NULL: the join adds no filter on it, so both sides share one histogram
+    block = F.coalesce(F.floor(F.col("value") / _BLOCK), F.lit(0))
+    blocked = hist.withColumn("block", block)
     by_block = Window.partitionBy(*keys).orderBy("block")
     blocks = (
         blocked.groupBy(*keys, "block")

@@ -25,9 +25,14 @@ FAMILY_KEYS = [*SONG, "primary_artist_used", "debut_date", "debut_rank", "genre_
 ARTIST_KEYS = [*SONG, "primary_artist_used", "debut_date", "debut_rank"]
 
 
-def last_full_window(history: DataFrame, weeks: int = WINDOW_WEEKS) -> Column:
-    """Latest debut date that still has the whole window in the data."""
-    return history.select(F.date_sub(F.max("chart_date"), 7 * weeks)).scalar()
+def full_window_limit(weeks: int = WINDOW_WEEKS) -> Column:
+    """Aggregate: latest debut date that still has the whole window in the data."""
+    return F.date_sub(F.max("chart_date"), 7 * weeks)
+
+
+def cutoff_date(history: DataFrame, cutoff: date | None = None, weeks: int = WINDOW_WEEKS) -> Column:
+    """``cutoff``, or the full-window limit of ``history`` as a scalar subquery."""
+    return history.select(full_window_limit(weeks)).scalar() if cutoff is None else F.lit(cutoff)
 
 
 def in_cohort(
@@ -41,11 +46,10 @@ def in_cohort(
 
     ``cutoff`` defaults to the last debut date with a full window.
     """
-    limit = last_full_window(history, weeks) if cutoff is None else F.lit(cutoff)
     condition = (
         (F.col("weeks_on_chart") == 1)
         & ~F.col("is_release_week_bulk_entry")
-        & (F.col("chart_date") <= limit)
+        & (F.col("chart_date") <= cutoff_date(history, cutoff, weeks))
     )
     if require_tags:
         condition &= F.size("genre_tags") > 0

@@ -2,7 +2,7 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from upcharts.functions.histogram import histogram_median, histogram_summary, value_histogram
@@ -31,30 +31,19 @@ def snapshot_profile(history: DataFrame) -> DataFrame:
 
 def movement_baseline(history: DataFrame) -> DataFrame:
     """One row: eligible rows, mean and median delta, how many went up, flat, down."""
-    hist = value_histogram(weekly_delta(history).withColumn("scope", F.lit("all")), ["scope"], "delta")
-    direction = hist.groupBy("scope").agg(
-        *[
-            F.coalesce(F.sum(F.when(condition, F.col("freq"))), F.lit(0)).alias(name)
-            for name, condition in (
-                ("up", F.col("value") > 0),
-                ("flat", F.col("value") == 0),
-                ("down", F.col("value") < 0),
-            )
-        ]
-    )
-    return (
-        histogram_summary(hist, ["scope"])
-        .join(histogram_median(hist, ["scope"]), "scope")
-        .join(direction, "scope")
-        .select(
-            F.col("n").alias("eligible"),
-            F.round("mean", 2).alias("mean_delta"),
-            F.col("median").alias("median_delta"),
-            "up",
-            "flat",
-            "down",
-        )
-    )
+    hist = value_histogram(weekly_delta(history), [], "delta")
+    median = histogram_median(hist, []).scalar()
+
+    def rows_where(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("freq"))), F.lit(0))
+
+    return hist.agg(
+        F.coalesce(F.sum("freq"), F.lit(0)).alias("eligible"),
+        F.round(F.sum(F.col("value") * F.col("freq")) / F.sum("freq"), 2).alias("mean_delta"),
+        rows_where(F.col("value") > 0).alias("up"),
+        rows_where(F.col("value") == 0).alias("flat"),
+        rows_where(F.col("value") < 0).alias("down"),
+    ).select("eligible", "mean_delta", median.alias("median_delta"), "up", "flat", "down")
 
 
 def exclusion_overlap(history: DataFrame) -> DataFrame:

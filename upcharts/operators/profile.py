@@ -1,9 +1,11 @@
 """Profiles of the tag vocabulary, the cohort and the corpus."""
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from upcharts.operators.cohort import SONG, WINDOW_WEEKS, last_full_window
+from upcharts.operators.cohort import SONG, WINDOW_WEEKS, cutoff_date
 
 
 def tagged_songs(entries: DataFrame, metadata: DataFrame) -> DataFrame:
@@ -63,11 +65,11 @@ def tag_clusters(songs: DataFrame) -> DataFrame:
     )
 
 
-def cohort_funnel(history: DataFrame, weeks: int = WINDOW_WEEKS) -> DataFrame:
+def cohort_funnel(history: DataFrame, cutoff: date | None = None, weeks: int = WINDOW_WEEKS) -> DataFrame:
     """Distinct songs left after each cohort criterion, in order."""
     debut = F.col("weeks_on_chart").eqNullSafe(1)
     single = debut & ~F.col("is_release_week_bulk_entry")
-    observed = single & (F.col("chart_date") <= last_full_window(history, weeks))
+    observed = single & (F.col("chart_date") <= cutoff_date(history, cutoff, weeks))
     tagged = observed & (F.size("genre_tags") > 0)
     steps = {"debuts": debut, "not_bulk": single, "full_window": observed, "tagged": tagged}
     per_song = history.groupBy(*SONG).agg(

@@ -1,10 +1,11 @@
 """The chart warehouse: raw entries, artist metadata, chart_history and its debuts."""
 
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from upcharts.operators.cohort import debut_rows
+from upcharts.operators.cohort import debut_rows, full_window_limit
 from upcharts.operators.matching import lookup_artists
 from upcharts.operators.staging import stage_history
 from upcharts.session import materialise
@@ -17,6 +18,9 @@ class Warehouse:
     metadata: DataFrame
     history: DataFrame
     debuts: DataFrame
+    # last debut date with a full observation window, as a literal: plans that use
+    # a cohort twice can then share its shuffles, and the scan can skip later weeks
+    cutoff: date
 
 
 _built: dict[tuple[str, str], Warehouse] = {}
@@ -35,7 +39,8 @@ def build_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     # one folder per week, and a heavy week is split over several files
     history = materialise(staged.repartitionByRange("chart_date", "rank"), "chart_history")
     debuts = materialise(debut_rows(history), "debuts")
-    return Warehouse(entries, metadata, history, debuts)
+    (cutoff,) = history.agg(full_window_limit()).first()
+    return Warehouse(entries, metadata, history, debuts, cutoff)
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:

@@ -37,11 +37,11 @@ def on_history(name: str, operator: Callable[[DataFrame], DataFrame]) -> None:
 
 
 def on_debuts(name: str, operator: Callable[..., DataFrame]) -> None:
-    """Register an operator that takes chart_history and the stored debut rows."""
+    """Register an operator that takes chart_history, its stored debuts and the cutoff."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         base = warehouse(spark, sf_dir)
-        return operator(base.history, debuts=base.debuts)
+        return operator(base.history, debuts=base.debuts, cutoff=base.cutoff)
 
     QUERIES[name] = run
 
@@ -160,8 +160,8 @@ def literal_union(spark, sf_dir):
 
 @query
 def model_table(spark, sf_dir):
-    models.materialise_table(_model_ids(spark, sf_dir), "model_ids", fresh_path(spark, "model_ids"))
-    return models.ref(spark, "model_ids")
+    models.materialise_table(_model_ids(spark, sf_dir), "upcharts_model_ids", fresh_path(spark, "model_ids"))
+    return models.ref(spark, "upcharts_model_ids")
 
 
 @query
@@ -173,21 +173,21 @@ def model_view(spark, sf_dir):
 # --- calendar and completeness -------------------------------------------------
 
 
-def _debut_weeks(history: DataFrame, debuts: DataFrame) -> DataFrame:
-    return cohort.debut_cohort(history, debuts).select(F.col("debut_date").alias("chart_date"))
+def _debut_weeks(history: DataFrame, **chosen) -> DataFrame:
+    return cohort.debut_cohort(history, **chosen).select(F.col("debut_date").alias("chart_date"))
 
 
 on_history("week_calendar", lambda h: weeks.week_calendar(h, CALENDAR_START))
 on_debuts(
     "missing_weeks",
-    lambda h, debuts: weeks.missing_weeks(
-        weeks.week_calendar(h, CALENDAR_START), _debut_weeks(h, debuts)
+    lambda h, **c: weeks.missing_weeks(
+        weeks.week_calendar(h, CALENDAR_START), _debut_weeks(h, **c)
     ),
 )
 on_debuts(
     "backfill_summary",
-    lambda h, debuts: weeks.backfill_summary(
-        weeks.week_calendar(h, CALENDAR_START), _debut_weeks(h, debuts)
+    lambda h, **c: weeks.backfill_summary(
+        weeks.week_calendar(h, CALENDAR_START), _debut_weeks(h, **c)
     ),
 )
 
@@ -294,34 +294,34 @@ def match_summary(spark, sf_dir):
 # --- cohorts and climbs --------------------------------------------------------------
 
 
-def _observed(history: DataFrame, debuts: DataFrame) -> DataFrame:
-    return cohort.observation_window(cohort.debut_cohort(history, debuts), history)
+def _observed(history: DataFrame, **chosen) -> DataFrame:
+    return cohort.observation_window(cohort.debut_cohort(history, **chosen), history)
 
 
-on_debuts("debut_cohort", lambda h, debuts: _joined(cohort.debut_cohort(h, debuts), "genre_tags"))
+on_debuts("debut_cohort", lambda h, **c: _joined(cohort.debut_cohort(h, **c), "genre_tags"))
 on_debuts(
     "artist_debut_cohort",
-    lambda h, debuts: cohort.debut_cohort(
-        h, debuts, require_tags=False, require_primary=True
+    lambda h, **c: cohort.debut_cohort(
+        h, **c, require_tags=False, require_primary=True
     ).drop("genre_tags"),
 )
-on_debuts("observation_window", lambda h, debuts: _observed(h, debuts).drop("genre_tags"))
-on_debuts("best_rank_8wk", lambda h, debuts: _joined(cohort.best_rank(h, debuts=debuts), "genre_tags"))
+on_debuts("observation_window", lambda h, **c: _observed(h, **c).drop("genre_tags"))
+on_debuts("best_rank_8wk", lambda h, **c: _joined(cohort.best_rank(h, **c), "genre_tags"))
 on_history("best_rank_window", lambda h: _joined(cohort.best_rank(h, strategy="window"), "genre_tags"))
 on_debuts("climb_by_tag", cohort.climb_by_tag)
 on_debuts(
     "genre_family_map",
-    lambda h, debuts: cohort.climb_by_tag(h, debuts=debuts).select(
+    lambda h, **c: cohort.climb_by_tag(h, **c).select(
         "title", "artist", "genre", genre_family("genre").alias("genre_family")
     ),
 )
 on_debuts(
     "top_artist_share",
-    lambda h, debuts: reports.top_artist_share(reports.climbs_by_artist(h, debuts=debuts)),
+    lambda h, **c: reports.top_artist_share(reports.climbs_by_artist(h, **c)),
 )
 on_debuts(
     "week_number",
-    lambda h, debuts: _observed(h, debuts).select(
+    lambda h, **c: _observed(h, **c).select(
         "title",
         "artist",
         "debut_date",
@@ -333,7 +333,7 @@ on_debuts(
 )
 on_debuts(
     "debut_month",
-    lambda h, debuts: cohort.debut_cohort(h, debuts).select(
+    lambda h, **c: cohort.debut_cohort(h, **c).select(
         "title",
         "artist",
         "debut_date",
@@ -394,12 +394,12 @@ def tag_clusters(spark, sf_dir):
 on_debuts("song_trajectory", trajectory.song_trajectory)
 on_debuts(
     "weeks_to_peak",
-    lambda h, debuts: trajectory.weeks_to_peak(trajectory.song_trajectory(h, debuts=debuts)),
+    lambda h, **c: trajectory.weeks_to_peak(trajectory.song_trajectory(h, **c)),
 )
 on_debuts(
     "climb_slope",
-    lambda h, debuts: trajectory.climb_slope(
-        trajectory.song_trajectory(h, debuts=debuts)
+    lambda h, **c: trajectory.climb_slope(
+        trajectory.song_trajectory(h, **c)
     ).withColumn("climb_per_week", F.round("climb_per_week", 4)),
 )
 on_debuts("genre_weekly_curve", trajectory.family_weekly_curve)

@@ -62,13 +62,20 @@ def staged_files(spark: SparkSession, glob: str) -> DataFrame:
     return files.select("path", date_from_path("path").alias("chart_date"))
 
 
+def _loaded_weeks(manifest: DataFrame) -> DataFrame:
+    # one date per week ever loaded: bounded by the calendar, so safe to broadcast,
+    # and the staged rows need no shuffle
+    return F.broadcast(manifest.select("chart_date").distinct())
+
+
 def pending_weeks(staged: DataFrame, manifest: DataFrame) -> DataFrame:
     """Staged weeks that the manifest does not list."""
-    return staged.select("chart_date").distinct().join(manifest, "chart_date", "left_anti")
+    weeks = staged.select("chart_date").distinct()
+    return weeks.join(_loaded_weeks(manifest), "chart_date", "left_anti")
 
 
 def pending_rows(staged: DataFrame, manifest: DataFrame) -> DataFrame:
-    return staged.join(manifest.distinct(), "chart_date", "left_anti")
+    return staged.join(_loaded_weeks(manifest), "chart_date", "left_anti")
 
 
 def update_manifest(manifest: DataFrame, loaded: DataFrame) -> DataFrame:
