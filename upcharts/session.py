@@ -5,6 +5,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+# temporary folders of local applications without a shared folder
+_local_dirs: dict[str, str] = {}
+
 
 def build_session(app_name: str = "upcharts", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the package is tuned for.
@@ -41,9 +44,10 @@ def shared_dir(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    root = tempfile.mkdtemp(prefix="upcharts-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="upcharts-")
+    return _local_dirs[app]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
