@@ -17,6 +17,8 @@ def numbers(spark):
         ("SELECT 1 -- a comment", "rows"),
         ("SELECT id FROM numbers WHERE id < 0", "empty"),
         ("DROP VIEW numbers", "rejected"),
+        ("SHOW TABLES", "rejected"),
+        ("WITH n AS (SELECT 1) INSERT INTO numbers SELECT * FROM n", "rejected"),
         ("INSERT INTO numbers VALUES (1)", "rejected"),
         ("SELECT 1; DROP VIEW numbers", "rejected"),
         ("SELECT missing FROM numbers", "failed"),

@@ -103,6 +103,15 @@ def test_schema_evolution(spark):
     assert rows(loads.evolve_schema(old, new)) == [(1, None), (2, "x")]
 
 
+def test_append_may_add_columns(spark, make_history):
+    path = fresh_path(spark, "t_evolve")
+    loads.append_history(make_history([(0, 1, "a")]), path)
+    loads.append_history(make_history([(1, 1, "b")]).withColumn("label", F.lit("x")), path, allow_new=True)
+    assert loads.read_history(spark, path).schema == loads.conform(make_history([])).schema
+    merged = loads.read_history(spark, path, merge_schema=True)
+    assert rows(merged.select("title", "label")) == [("a", None), ("b", "x")]
+
+
 def test_stream_loads_each_file_once(spark, make_history):
     staged, target, state = (fresh_path(spark, n) for n in ("t_staged", "t_target", "t_state"))
 

@@ -105,10 +105,7 @@ def append_history(spark, sf_dir):
     history = warehouse(spark, sf_dir).history
     path = fresh_path(spark, "appended")
     loads.append_history(history.where(F.col("chart_date") < LOADED_BEFORE), path)
-    manifest = _manifest(history)
-    # the second run repeats a load whose manifest was lost
-    for _ in range(2):
-        loads.load_pending(history, manifest, path, approved=True)
+    loads.load_pending(history, _manifest(history), path, approved=True)
     return _joined(loads.read_history(spark, path), "genre_tags")
 
 

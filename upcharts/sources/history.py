@@ -6,13 +6,18 @@ from pyspark.sql import functions as F
 from upcharts.schemas import CHART_HISTORY
 
 
-def conform(df: DataFrame) -> DataFrame:
-    """Exactly the history columns, in order and type."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in CHART_HISTORY.fields])
+def conform(df: DataFrame, keep_new: bool = False) -> DataFrame:
+    """Exactly the history columns, in order and type; ``keep_new`` adds any others behind."""
+    known = [F.col(f.name).cast(f.dataType).alias(f.name) for f in CHART_HISTORY.fields]
+    new = [c for c in df.columns if c not in CHART_HISTORY.fieldNames()] if keep_new else []
+    return df.select(*known, *new)
 
 
-def read_history(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(CHART_HISTORY).parquet(path)
+def read_history(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
+    """The history table; ``merge_schema`` also shows columns that later loads added."""
+    if merge_schema:
+        return conform(spark.read.option("mergeSchema", True).parquet(path), keep_new=True)
+    return conform(spark.read.schema(CHART_HISTORY).parquet(path))
 
 
 def _weekly_writer(df: DataFrame):
@@ -26,9 +31,9 @@ def write_weeks(df: DataFrame, path: str) -> None:
     _weekly_writer(df).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
 
 
-def append_history(df: DataFrame, path: str) -> None:
-    """Append rows with the fixed history schema."""
-    _weekly_writer(conform(df)).mode("append").parquet(path)
+def append_history(df: DataFrame, path: str, allow_new: bool = False) -> None:
+    """Append rows with the history schema; ``allow_new`` lets them bring extra columns."""
+    _weekly_writer(conform(df, keep_new=allow_new)).mode("append").parquet(path)
 
 
 def export_ndjson(df: DataFrame, path: str) -> None:
