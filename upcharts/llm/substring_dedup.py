@@ -10,8 +10,9 @@ joining its first 34 words to its last 34. Edges are never shuffled one by one:
 2. Pieces are counted by seed. A seed seen once is dropped. If all pieces of a seed
    are the same path, the path does not branch there: all its edges repeat, and the
    piece stays compact. A join on the seed brings this back to the pieces.
-3. Where the pieces of a seed differ, the graph branches. Only these pieces are taken
-   apart: their windows are hashed from the texts, counted, and joined back.
+3. Where the pieces of a seed differ, the graph branches. A path that occurs twice still
+   repeats as a whole. One piece of each path at a branch is taken apart: its windows are
+   hashed from the text and counted, and those of paths seen once are joined back.
 4. Source coordinates, grouped by document, say which words the repeated edges cover.
 
 A window is known by two 64-bit hashes of its words (seed and path in steps 2,
@@ -101,7 +102,7 @@ def _text_pieces(window: int, seed: int):
 
 
 def _text_windows(window: int):
-    """Hashes of the windows of branching pieces; ``spans`` holds (start, edges, branches)."""
+    """Hashes of the windows of pieces to take apart; ``spans`` holds (start, edges, sure, apart)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -114,8 +115,9 @@ def _text_windows(window: int):
                 doc = np.repeat(np.arange(end - row), part.value_lengths().to_numpy(zero_copy_only=False))
                 start = flat.field("start").to_numpy()
                 edges = flat.field("edges").to_numpy().astype(np.int64)
-                which = flat.field("branches").to_numpy(zero_copy_only=False)
-                doc, start, edges = doc[which], start[which].astype(np.int64), edges[which]
+                sure = flat.field("sure").to_numpy(zero_copy_only=False)
+                which = flat.field("apart").to_numpy(zero_copy_only=False)
+                doc, start, edges, sure = doc[which], start[which].astype(np.int64), edges[which], sure[which]
                 total = int(edges.sum())
                 if not total:
                     continue
@@ -130,6 +132,7 @@ def _text_windows(window: int):
                         "_id": batch.column("_id").take(pa.array(row + doc)),
                         "_check": batch.column("_check").take(pa.array(row + doc)),
                         "start": pa.array(start.astype(np.int32)),
+                        "sure": pa.array(np.repeat(sure, edges)),
                     }
                 )
 
@@ -154,7 +157,7 @@ def _kept_texts(window: int, with_text: bool):
                     if whole:
                         start = flat.field("start").to_numpy().astype(np.int64)
                         edges = flat.field("edges").to_numpy().astype(np.int64)
-                        sure = ~flat.field("branches").to_numpy(zero_copy_only=False)
+                        sure = flat.field("sure").to_numpy(zero_copy_only=False)
                         doc, start, edges = doc[sure], start[sure], edges[sure]
                     else:
                         start, edges = flat.to_numpy().astype(np.int64), 1
@@ -202,7 +205,11 @@ _PIECE = "seed long, path long, _id long, _check int, start int, edges short"
 
 
 def repeated_pieces(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Per document with repeated seeds: its pieces as (start, edges, branches)."""
+    """Per document with repeated seeds: its pieces as (start, edges, sure, apart).
+
+    All edges of a ``sure`` piece repeat. Pieces ``apart`` have to be taken apart: the
+    unsure ones, and one piece of each sure path they may share edges with.
+    """
     seed = min(SEED, window)
     texts = docs.select(*row_key(), "text")
     pieces = materialise(in_tasks(texts, _text_pieces(window, seed), _PIECE), "path_pieces")
@@ -212,9 +219,18 @@ def repeated_pieces(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         .where("n > 1")
         .select("seed", (F.col("low") != F.col("high")).alias("branches"))
     )
-    repeated = pieces.select("seed", "_id", "_check", "start", "edges").join(seeds, "seed")
-    spans = repeated.groupBy("_id", "_check").agg(F.collect_set(F.struct("start", "edges", "branches")).alias("spans"))
-    return materialise(spans, "path_spans")
+    repeated = materialise(pieces.join(seeds, "seed"), "repeated_pieces")
+    place = F.struct("_id", "_check", "start")
+    path = ["seed", "path"]
+    paths = repeated.where("branches").groupBy(*path).agg(F.count("*").alias("n"), F.min(place).alias("one_place"))
+    known = repeated.join(paths, path, "left")
+    span = F.struct(
+        "start",
+        "edges",
+        (~F.col("branches") | (F.col("n") > 1)).alias("sure"),
+        (F.col("branches") & (place == F.col("one_place"))).alias("apart"),
+    )
+    return materialise(known.groupBy("_id", "_check").agg(F.collect_set(span).alias("spans")), "path_spans")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = False) -> DataFrame:
@@ -223,12 +239,14 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fals
     texts = docs.select("doc_id", *row_key(), "text")
     key = ["_id", "_check"]
 
-    branching = spans.where(F.exists("spans", lambda s: s["branches"]))
-    taken_apart = texts.join(branching, key).select(*key, "text", "spans")
-    schema = "one long, two long, _id long, _check int, start int"
+    branching = spans.where(F.exists("spans", lambda s: s["apart"]))
+    # rows that repeat doc_id and text hold the same pieces, which are compared once
+    taken_apart = texts.join(branching, key).select(*key, "text", "spans").dropDuplicates(key)
+    schema = "one long, two long, _id long, _check int, start int, sure boolean"
     windows = materialise(in_tasks(taken_apart, _text_windows(window), schema), "branch_windows")
     twice = windows.groupBy("one", "two").agg(F.count("*").alias("n")).where("n > 1").select("one", "two")
-    singles = windows.join(twice, ["one", "two"]).groupBy(*key).agg(F.collect_set("start").alias("singles"))
+    unsure = windows.where("not sure").drop("sure")
+    singles = unsure.join(twice, ["one", "two"]).groupBy(*key).agg(F.collect_set("start").alias("singles"))
 
     covered = texts.join(spans, key, "left").join(singles, key, "left")
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + (", kept_text string" if with_text else "")
