@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from upcharts.llm.positions import blocks_for, running_sums
 from upcharts.llm.ship import in_tasks
 from upcharts.llm.text import text_slices
-from upcharts.llm.tokens import END, VOCABULARY, binary_texts, encoder
+from upcharts.llm.tokens import END, SLICE, VOCABULARY, encoder
 
 ROWS_PER_FILE = 16384
 ROW_GROUP_BYTES = 16 << 20
@@ -37,8 +37,8 @@ def _encoded(vocabulary: str, path: str | None, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary, path).encode
         for batch in batches:
-            for row, stop, _, _ in text_slices(batch.column("text")):
-                ids, bounds = encode(binary_texts(batch.column("text"), row, stop), end)
+            for row, stop, data, offsets in text_slices(batch.column("text"), SLICE):
+                ids, bounds = encode(data, offsets, end)
                 yield pa.record_batch(
                     {
                         "doc_id": batch.column("doc_id").slice(row, stop - row),

@@ -12,11 +12,15 @@ import re
 
 import numpy as np
 
+from upcharts.llm.text import Words, words_of
+
 END = 1
 VOCABULARY = "word_bpe_49k.json"
 # distinct pieces a worker remembers; beyond that it starts over
-REMEMBERED = 700_000
+REMEMBERED = 1_400_000
 LONGEST = 64
+# bytes of text encoded at a time; pieces are looked up once in each
+SLICE = 4 << 20
 
 _LETTERS = re.compile(rb"([A-Za-z]+)([!-&(-/:-@\[-`{-~]*)")
 
@@ -38,91 +42,86 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
+        # a piece is one or two units (letters, punctuation); unit 0 has no ids
         self.known: dict[bytes, int] = {}
-        self.places: list[int] = [0]
+        self.units: dict[bytes, int] = {b"": 0}
         self.ids = np.empty(1 << 20, np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32)
-        self.cores: dict[bytes, np.ndarray] = {}
+        self.starts = np.zeros(1 << 18, np.int64)  # unit i owns ids starts[i]:starts[i+1]
+        self.count = 1
 
-    def _encode(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """Ids of pieces free of ASCII white space, several to a call."""
-        out = []
+    def _encode(self, pieces: list[bytes]) -> None:
+        """Append the ids of pieces free of ASCII white space as new units."""
         for at in range(0, len(pieces), 1024):
             part = [p.decode() for p in pieces[at : at + 1024]]
             encoded = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ends = np.cumsum([len(p) + 1 for p in part])
-            ids = np.array(encoded.ids, np.int64)
-            starts = np.array([o[0] for o in encoded.offsets], np.int64)
-            cuts = np.searchsorted(starts, ends[:-1])
-            out += np.split(ids, cuts)
-        return out
+            ends = np.cumsum(np.fromiter(map(len, part), np.int64, len(part)) + 1)
+            begins = np.fromiter((o[0] for o in encoded.offsets), np.int64)
+            bounds = self.starts[self.count] + np.searchsorted(begins, ends)
+            if bounds[-1] > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.empty(max(len(self.ids), int(bounds[-1])), self.ids.dtype)])
+            self.ids[self.starts[self.count] : bounds[-1]] = encoded.ids
+            if self.count + len(part) + 1 > len(self.starts):
+                self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+            self.starts[self.count + 1 : self.count + len(part) + 1] = bounds
+            self.count += len(part)
 
     def _add(self, pieces: list[bytes]) -> None:
-        whole, cores = [], set()
-        for p in pieces:
-            found = _LETTERS.fullmatch(p)
-            if found:
-                cores.update(x for x in (found[1].lower(), found[2]) if x and x not in self.cores)
-            else:
-                whole.append(p)
-        cores = sorted(cores)
-        self.cores.update(zip(cores, self._encode(cores), strict=True))
-        ids = dict(zip(whole, self._encode(whole), strict=True))
-        none = np.empty(0, np.int64)
+        units, fresh, parts = self.units, [], []
         for p in pieces:
-            if (value := ids.get(p)) is None:
-                found = _LETTERS.fullmatch(p)
-                value = self.cores[found[1].lower()]
-                if found[2]:
-                    value = np.concatenate([value, self.cores.get(found[2], none)])
-            at = self.places[-1]
-            while at + len(value) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-            self.ids[at : at + len(value)] = value
-            self.known[p] = len(self.places) - 1
-            self.places.append(at + len(value))
-
-    def encode(self, texts: list[bytes], end: int | None = END) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in a row, and where each text's ids begin (one bound more than texts)."""
-        if len(self.known) > REMEMBERED or len(self.cores) > REMEMBERED:
-            self._forget()
-        split = [t.split() for t in texts]
-        known = self.known
-        fresh = {p for pieces in split for p in pieces if p not in known}
+            found = _LETTERS.fullmatch(p) if len(p) <= LONGEST else None
+            pair = (found[1].lower(), found[2]) if found else (p, b"")
+            parts.append(pair)
+            for x in pair:
+                if x not in units:
+                    units[x] = self.count + len(fresh)
+                    fresh.append(x)
+        self._encode(fresh)
+        self.known.update((p, units[a] | units[b] << 32) for p, (a, b) in zip(pieces, parts, strict=True))
+
+    def _codes(self, data: np.ndarray, words: Words) -> tuple[np.ndarray, list[bytes]]:
+        """The known code of each word, and the long pieces among them, which are not kept."""
+        kinds, first, place = np.unique(words.hashes, return_index=True, return_inverse=True)
+        raw = data.tobytes()
+        pieces = [raw[a:b] for a, b in zip(words.starts[first].tolist(), words.ends[first].tolist(), strict=True)]
+        # words with one hash must agree in length and in their first and last bytes
+        for own in (words.ends - words.starts, data[words.starts], data[words.ends - 1]):
+            if (own != own[first][place]).any():
+                spans = zip(words.starts.tolist(), words.ends.tolist(), strict=True)
+                pieces, place = [raw[a:b] for a, b in spans], np.arange(len(words.starts))
+                break
+        fresh = [p for p in dict.fromkeys(pieces) if p not in self.known]
+        self._add([p for p in fresh if len(p) <= LONGEST])
         long = [p for p in fresh if len(p) > LONGEST]
-        fresh.difference_update(long)
-        self._add(sorted(fresh))
-        # long pieces are encoded one by one and never kept
-        extra = {p: self._encode([p])[0] for p in long}
-        if extra:
-            return self._encode_mixed(split, extra, end)
-        codes = np.fromiter((known[p] for pieces in split for p in pieces), np.int64)
-        counts = np.fromiter(map(len, split), np.int64, len(split))
-        places = np.asarray(self.places)
-        lengths = (places[1:] - places[:-1])[codes] if len(codes) else codes
+        self.kept = self.count
+        self._add(long)
+        codes = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        return codes[place], long
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray, end: int | None = END) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the texts ``data[offsets[i]:offsets[i+1]]`` in a row, and the bounds of each text's."""
+        if len(self.known) > REMEMBERED:
+            self._forget()
+        data = data[int(offsets[0]) : int(offsets[-1])]
+        words = words_of(data, offsets - offsets[0])
+        codes, long = self._codes(data, words)
+        units = np.stack([codes & 0xFFFFFFFF, codes >> 32], axis=1).ravel()
+        first = self.starts[units]
+        lengths = self.starts[units + 1] - first
         before = np.concatenate([[0], np.cumsum(lengths)])
-        per_text = np.diff(before[np.concatenate([[0], np.cumsum(counts)])])
         tail = 0 if end is None else 1
-        bounds = np.concatenate([[0], np.cumsum(per_text + tail)])
-        out = np.full(int(bounds[-1]), end or 0, np.uint32)
-        shift = np.repeat(np.arange(len(split)) * tail, counts)
-        goal = before[:-1] + shift
+        bounds = before[words.bounds * 2] + np.arange(len(offsets)) * tail
         total = int(before[-1])
-        inner = np.arange(total) - np.repeat(before[:-1], lengths)
-        out[np.repeat(goal, lengths) + inner] = self.ids[np.repeat(places[codes] if len(codes) else codes, lengths) + inner]
+        place = np.arange(total) + np.repeat(first - before[:-1], lengths)
+        out = np.full(int(bounds[-1]), end or 0, np.uint32)
+        spot = np.ones(len(out), bool)
+        if tail:
+            spot[bounds[1:] - 1] = False
+        out[spot] = self.ids[place]
+        for p in long:
+            del self.known[p], self.units[p]
+        self.count = self.kept
         return out, bounds
 
-    def _encode_mixed(self, split: list[list[bytes]], extra: dict, end: int | None) -> tuple[np.ndarray, np.ndarray]:
-        """As ``encode``, one text at a time, where some texts hold long pieces."""
-        parts, bounds = [], [0]
-        for pieces in split:
-            own = [
-                extra[p] if p in extra else self.ids[self.places[self.known[p]] : self.places[self.known[p] + 1]]
-                for p in pieces
-            ] + ([np.array([end])] if end is not None else [])
-            parts += own
-            bounds.append(bounds[-1] + sum(map(len, own)))
-        return (np.concatenate(parts).astype(np.uint32) if parts else np.empty(0, np.uint32)), np.array(bounds)
-
 
 _encoders: dict[tuple, Encoder] = {}
 
@@ -132,8 +131,3 @@ def encoder(name: str = VOCABULARY, path: str | None = None) -> Encoder:
     if (name, path) not in _encoders:
         _encoders[name, path] = Encoder(name, path)
     return _encoders[name, path]
-
-
-def binary_texts(column, row: int, end: int) -> list[bytes]:
-    """UTF-8 of rows of an Arrow string column; null is empty."""
-    return [t or b"" for t in column.slice(row, end - row).cast("binary").to_pylist()]
