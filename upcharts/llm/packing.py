@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from upcharts.llm.positions import in_blocks, running_sums
 from upcharts.llm.ship import in_tasks
 from upcharts.llm.text import text_slices
-from upcharts.llm.tokens import END, VOCABULARY, binary_texts, encoder
+from upcharts.llm.tokens import END, SLICE, VOCABULARY, encoder
 from upcharts.session import materialise
 
 CAPACITY = 4096
@@ -44,28 +44,28 @@ class _Available:
     def has(self, lengths: list[int]) -> bool:
         return all(self.counts[x] >= lengths.count(x) for x in lengths)
 
-    def pair(self, gap: int, used: list[int]) -> list[int] | None:
-        """Two lengths that add up to ``gap``, as near to each other as there are."""
-        if gap < 2:
-            return None
-        low = np.arange(gap // 2, 0, -1)
-        there = np.flatnonzero((self.counts[low] > 0) & (self.counts[gap - low] > 0))
-        for i in there[:8].tolist():
-            found = [gap - int(low[i]), int(low[i])]
-            if self.has(used + found):
-                return found
-        return None
-
     def exact(self, gap: int, used: list[int]) -> list[int] | None:
         """One, two or three lengths that fill ``gap`` exactly beside ``used``."""
         if self.has([*used, gap]):
             return [gap]
-        if found := self.pair(gap, used):
-            return found
-        third = np.flatnonzero(self.counts[: gap // 3 + 1])[::-1]
-        for c in third.tolist():
-            if c and self.has([*used, c]) and (found := self.pair(gap - c, [*used, c])):
-                return [*found, c]
+        there = np.flatnonzero(self.counts[:gap] > 0)
+        # pairs: a length and its complement, as near to each other as there are
+        other = gap - there
+        low = there[(other <= there) & (self.counts[other] > 0)]
+        for a in low[:8].tolist():
+            if self.has([*used, a, gap - a]):
+                return [a, gap - a]
+        # triples: the pair sums that the gap less a third length asks for, longest thirds first
+        thirds = there[there <= gap // 3][::-1]
+        for at in range(0, len(thirds), 64):
+            third = thirds[at : at + 64, None]
+            rest = gap - third - there[None, :]
+            fits = (there[None, :] >= third) & (rest >= there[None, :])
+            fits &= self.counts[np.maximum(rest, 0)] > 0
+            for i, j in np.argwhere(fits)[-8:][::-1].tolist():
+                found = [int(rest[i, j]), int(there[j]), int(third[i, 0])]
+                if self.has(used + found):
+                    return found
         return None
 
     def best(self, gap: int, used: list[int]) -> list[int]:
@@ -156,8 +156,8 @@ def _cut(vocabulary: str, path: str | None, end: int, capacity: int, with_ids: b
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary, path).encode
         for batch in batches:
-            for row, stop, _, _ in text_slices(batch.column("text")):
-                ids, bounds = encode(binary_texts(batch.column("text"), row, stop), end)
+            for row, stop, data, offsets in text_slices(batch.column("text"), SLICE):
+                ids, bounds = encode(data, offsets, end)
                 sizes = np.diff(bounds)
                 parts = -(-sizes // capacity)
                 doc = np.repeat(np.arange(len(sizes)), parts)
