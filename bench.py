@@ -8,6 +8,7 @@ their whole result is fetched.
 
 import json
 import os
+import tempfile
 import time
 
 from upcharts.plans.warehouse import warehouse
@@ -45,6 +46,8 @@ def main() -> None:
         **{
             "spark.sql.shuffle.partitions": cpus,
             "spark.driver.memory": "8g",
+            # one machine: a folder of its own is shared by all that take part
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
             "spark.ui.showConsoleProgress": "false",
         },
     )

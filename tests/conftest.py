@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
         **{
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+            "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "6g",
             "spark.sql.maxMetadataStringLength": "5000",
             "spark.ui.showConsoleProgress": "false",

@@ -1,6 +1,6 @@
 import pytest
 
-from upcharts.plans.adhoc import run_query
+from upcharts.plans.adhoc import run_query, select_rows
 
 
 @pytest.fixture(scope="module", autouse=True)
@@ -29,6 +29,8 @@ def test_outcomes(spark, sql, status):
     assert run_query(spark, sql).status == status
 
 
-def test_row_limit(spark):
-    assert len(run_query(spark, "SELECT id FROM numbers").rows) == 50
-    assert spark.table("numbers").count() == 60
+def test_preview_says_that_there_is_more(spark):
+    answer = run_query(spark, "SELECT id FROM numbers")
+    assert len(answer.rows) == 50 and answer.more
+    assert not run_query(spark, "SELECT id FROM numbers", preview=60).more
+    assert select_rows(spark, "SELECT id FROM numbers").count() == 60

@@ -1,15 +1,19 @@
 import json
+import os
 from datetime import date
 
+import pytest
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tests.conftest import rows, week
 from upcharts.operators import quality
 from upcharts.schemas import MANIFEST
-from upcharts.session import fresh_path
+from upcharts.session import fresh_path, remove_path
 from upcharts.sources import history as loads
 from upcharts.sources import models, sales, snapshots, weeks
-from upcharts.streaming.loads import load_stream, staged_stream
+from upcharts.streaming.loads import load_batch, load_stream, staged_stream
 
 
 def _snapshot(day, *entries):
@@ -126,6 +130,62 @@ def test_stream_loads_each_file_once(spark, make_history):
     assert load() == [("a",), ("b",), ("c",)]
 
 
+def test_stream_and_batch_share_a_table(spark, make_history):
+    staged, target, state = (fresh_path(spark, n) for n in ("m_staged", "m_target", "m_state"))
+    make_history([(0, 1, "a"), (1, 1, "b")]).write.json(staged)
+    load_stream(staged_stream(spark, staged), target, state).awaitTermination()
+    loads.append_history(make_history([(2, 1, "c")]), target)
+    loads.write_weeks(make_history([(1, 1, "b2")]), target)
+    assert rows(loads.read_history(spark, target).select("title")) == [("a",), ("b2",), ("c",)]
+
+
+def test_interrupted_batch_is_loaded_once(spark, make_history):
+    target, marks = fresh_path(spark, "i_target"), fresh_path(spark, "i_marks")
+    loads.append_history(make_history([(0, 1, "a")]), target)
+    batch = make_history([(0, 2, "b"), (1, 1, "c")])
+    load_batch(batch, target, marks, "s-0")
+    # as if the end had never been marked
+    remove_path(spark, f"{marks}/done")
+    for _ in range(2):
+        load_batch(batch, target, marks, "s-0")
+    assert rows(loads.read_history(spark, target).select("title")) == [("a",), ("b",), ("c",)]
+
+
+def test_manifest_is_stored_and_advances_after_the_load(spark, make_history):
+    manifest, target = fresh_path(spark, "t_manifest"), fresh_path(spark, "t_recorded")
+    h = make_history([(0, 1, "a"), (1, 1, "b")])
+    assert loads.load_recorded(h, manifest, target).count() == 0
+    for _ in range(2):
+        assert rows(loads.load_recorded(h, manifest, target, approved=True)) == [(week(0),), (week(1),)]
+    assert loads.read_history(spark, target).count() == 2
+
+
+def test_malformed_input_fails(spark, tmp_path):
+    (tmp_path / "cut.json").write_text('{"chart_date": "2026-01-03", "entries": [{"rank": 1, "title"')
+    with pytest.raises((PySparkException, Py4JJavaError), match="(?i)malformed"):
+        snapshots.read_snapshots(spark, str(tmp_path / "cut.json")).collect()
+    (tmp_path / "bad.json").write_text('{"chart_date": "2026-01-03", "rank": "first"}')
+    with pytest.raises((PySparkException, Py4JJavaError), match="(?i)malformed"):
+        loads.read_ndjson(spark, str(tmp_path / "bad.json")).collect()
+
+
+def test_readers_feed_the_dedups(spark, tmp_path):
+    for i, title in enumerate(["old", "new"]):
+        (tmp_path / f"chart_{i}.json").write_text(json.dumps(_snapshot("2026-01-03", (1, title, "A", 1, 1, 0))))
+        os.utime(tmp_path / f"chart_{i}.json", (1000 + i, 1000 + i))
+    raw = snapshots.read_snapshots(spark, f"{tmp_path}/chart_*.json")
+    assert [r.entries[0].title for r in snapshots.latest_snapshots(raw).collect()] == ["new"]
+    data = [{"artist": "A", "tags": ["first"], "found": True}, {"artist": "A", "tags": ["second"], "found": True}]
+    (tmp_path / "artists.json").write_text(json.dumps(data))
+    latest = snapshots.latest_metadata(snapshots.read_artist_metadata(spark, str(tmp_path / "artists.json")), "ingested_at", "row_no")
+    assert [r.tags for r in latest.collect()] == [["second"]]
+
+
+def test_missing_order_keeps_the_payload(spark):
+    df = spark.createDataFrame([("A", None, "x"), ("B", None, "y"), ("B", 1, "z")], "artist string, v int, mbid string")
+    assert rows(snapshots.latest_metadata(df, "v")) == [("A", None, "x"), ("B", 1, "z")]
+
+
 def test_calendar_steps_back_from_the_latest_week(make_history):
     h = make_history([(0, 1, "a"), (36, 1, "b")])
     calendar = weeks.week_calendar(h, date(2026, 1, 1))

@@ -1,5 +1,7 @@
 """The physical plans the scale argument rests on."""
 
+from datetime import date
+
 import pytest
 
 from upcharts.operators import cohort
@@ -18,7 +20,7 @@ def final_plan(df) -> str:
 
 
 # these write files, so their plan is a plain read
-SINKS = {"write_staged_roundtrip", "ndjson_roundtrip", "append_history", "stream_load", "model_table"}
+SINKS = {"write_staged_roundtrip", "ndjson_roundtrip", "append_history", "stream_load", "stream_then_append", "manifest_roundtrip", "model_table"}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - SINKS))
@@ -40,6 +42,17 @@ def test_observation_join_runs_once(spark, sf_dir, report):
     assert text.count("Join [title") == 1
 
 
+def test_history_scan_is_bounded_by_the_cutoff(spark, sf_dir):
+    base = warehouse(spark, sf_dir)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(cohort.best_rank(base.history, debuts=base.debuts, cutoff=date(1995, 1, 7)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "LessThanOrEqual(chart_date,1995-03-04)" in text
+
+
 def test_join_key_is_sliced_by_time(spark, sf_dir):
     base = warehouse(spark, sf_dir)
     text = plan(cohort.best_rank(base.history, debuts=base.debuts, cutoff=base.cutoff))

@@ -64,21 +64,26 @@ def histogram_summary(hist: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``*keys, n, total, top, mean, se, mean_without_top`` per key.
 
     The variance comes from exact integer sums, so it does not depend on the
-    order in which partitions are merged. ``se`` needs two rows.
+    order in which partitions are merged. Sums are 38 digits wide; squares are taken
+    around the whole part of the mean, so no product of two sums is needed. ``se``
+    needs two rows.
     """
-    weighted = F.col("value") * F.col("freq")
-    square = F.col("value").cast("decimal(19,0)") * F.col("value").cast("decimal(19,0)")
-    spread = (
-        F.col("n").cast("decimal(19,0)") * F.col("squares")
-        - F.col("total").cast("decimal(19,0)") * F.col("total").cast("decimal(19,0)")
-    ).cast("double")
-    n = F.col("n").cast("double")
+    wide = "decimal(38,0)"
+    value, freq = F.col("value").cast("decimal(19,0)"), F.col("freq").cast("decimal(19,0)")
+    weighted = (value * freq).cast(wide)
+    n, total = F.col("n").cast("double"), F.col("total")
+    # q = total div n, r = total - q n: the squares around the mean are
+    # sum (x - q)^2 - r^2 / n
+    q = F.expr("total div n").cast("decimal(19,0)")
+    r = (total - (q * F.col("n").cast("decimal(19,0)")).cast(wide)).cast("double")
+    around_q = F.col("squares") - (2 * q * total).cast(wide) + (q * q * F.col("n").cast("decimal(19,0)")).cast(wide)
+    spread = F.greatest(around_q.cast("double") - r * (r / n), F.lit(0.0))
     return (
         hist.groupBy(*keys)
         .agg(
             F.sum("freq").alias("n"),
-            F.sum(weighted).alias("total"),
-            F.sum((square * F.col("freq")).cast("decimal(38,0)")).cast("decimal(38,0)").alias("squares"),
+            F.sum(weighted).cast(wide).alias("total"),
+            F.sum((weighted * value).cast(wide)).cast(wide).alias("squares"),
             F.max("value").alias("top"),
         )
         .select(
@@ -86,10 +91,8 @@ def histogram_summary(hist: DataFrame, keys: Sequence[str]) -> DataFrame:
             "n",
             "total",
             "top",
-            (F.col("total") / F.col("n")).alias("mean"),
-            F.when(F.col("n") > 1, F.sqrt(spread / (n * (n - 1) * n))).alias("se"),
-            F.when(F.col("n") > 1, (F.col("total") - F.col("top")) / (F.col("n") - 1)).alias(
-                "mean_without_top"
-            ),
+            (total.cast("double") / n).alias("mean"),
+            F.when(F.col("n") > 1, F.sqrt(spread / (n * (n - 1)))).alias("se"),
+            F.when(F.col("n") > 1, (total - F.col("top")).cast("double") / (n - 1)).alias("mean_without_top"),
         )
     )

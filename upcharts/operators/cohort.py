@@ -8,7 +8,7 @@ is free to split a slice that is still too large.
 """
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -82,13 +82,18 @@ def debut_cohort(history: DataFrame, debuts: DataFrame | None = None, **cohort)
     )
 
 
-def observation_window(debuts: DataFrame, history: DataFrame, weeks: int = WINDOW_WEEKS) -> DataFrame:
+def observation_window(
+    debuts: DataFrame, history: DataFrame, weeks: int = WINDOW_WEEKS, cutoff: date | None = None
+) -> DataFrame:
     """Debuts with every position from the debut week to ``weeks`` later, inclusive.
 
     Time is cut into slices one window long, so a window touches at most two of
-    them: each debut is looked up in two slices, each chart row stays in one.
+    them: each debut is looked up in two slices, each chart row stays in one. If no
+    debut is later than ``cutoff``, chart rows after its window are never read.
     """
     days = 7 * weeks
+    if cutoff is not None:
+        history = history.where(F.col("chart_date") <= F.lit(cutoff + timedelta(days=days)))
 
     def time_slice(d: Column) -> Column:
         return F.floor(F.unix_date(d) / (days + 1))
@@ -126,7 +131,7 @@ def best_rank(
         chosen = debut_cohort(history, debuts, weeks=weeks, **cohort).select(
             *dict.fromkeys([*keys, "debut_date"])
         )
-        observed = observation_window(chosen, history, weeks)
+        observed = observation_window(chosen, history, weeks, cohort.get("cutoff"))
         return observed.groupBy(*keys).agg(F.min("rank").alias("best_rank_8wk"))
     if strategy != "window":
         raise ValueError(f"unknown strategy: {strategy}")

@@ -33,13 +33,14 @@ def movement_baseline(history: DataFrame) -> DataFrame:
     """One row: eligible rows, mean and median delta, how many went up, flat, down."""
     hist = value_histogram(weekly_delta(history), [], "delta")
     median = histogram_median(hist, []).scalar()
+    weighted = F.col("value").cast("decimal(19,0)") * F.col("freq").cast("decimal(19,0)")
 
     def rows_where(condition: Column) -> Column:
         return F.coalesce(F.sum(F.when(condition, F.col("freq"))), F.lit(0))
 
     return hist.agg(
         F.coalesce(F.sum("freq"), F.lit(0)).alias("eligible"),
-        F.round(F.sum(F.col("value") * F.col("freq")) / F.sum("freq"), 2).alias("mean_delta"),
+        F.round(F.sum(weighted).cast("double") / F.sum("freq"), 2).alias("mean_delta"),
         rows_where(F.col("value") > 0).alias("up"),
         rows_where(F.col("value") == 0).alias("flat"),
         rows_where(F.col("value") < 0).alias("down"),

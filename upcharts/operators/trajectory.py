@@ -13,7 +13,7 @@ def song_trajectory(history: DataFrame, weeks: int = WINDOW_WEEKS, **cohort) ->
     """Best rank per (song, debut, week since debut)."""
     debuts = debut_cohort(history, weeks=weeks, **cohort).select(*DEBUT).distinct()
     return (
-        observation_window(debuts, history, weeks)
+        observation_window(debuts, history, weeks, cohort.get("cutoff"))
         .groupBy(*DEBUT, "week_number")
         .agg(F.min("rank").alias("rank"))
     )
@@ -58,7 +58,7 @@ def family_weekly_curve(history: DataFrame, weeks: int = WINDOW_WEEKS, **cohort)
     keys = [*DEBUT, "genre_tags"]
     debuts = debut_cohort(history, weeks=weeks, **cohort).select(*keys).distinct()
     weekly = (
-        observation_window(debuts, history, weeks)
+        observation_window(debuts, history, weeks, cohort.get("cutoff"))
         .groupBy(*keys, "week_number")
         .agg(F.min("rank").alias("rank"))
     )

@@ -5,41 +5,46 @@ from dataclasses import dataclass, field
 from pyspark.errors import AnalysisException, ParseException, PySparkException
 from pyspark.sql import DataFrame, Row, SparkSession
 
-ROW_LIMIT = 50
+# rows fetched for display
+PREVIEW_ROWS = 50
 
 
 @dataclass
 class Answer:
-    """Outcome of a query: ``rows``, ``empty``, ``rejected`` or ``failed``."""
+    """Outcome of a query: ``rows``, ``empty``, ``rejected`` or ``failed``.
+
+    ``rows`` is a preview; ``more`` says that the result goes on.
+    """
 
     status: str
     rows: list[Row] = field(default_factory=list)
     message: str = ""
+    more: bool = False
 
 
-def select_rows(spark: SparkSession, sql: str, limit: int = ROW_LIMIT) -> DataFrame:
-    """The first ``limit`` rows of a query.
+def select_rows(spark: SparkSession, sql: str) -> DataFrame:
+    """All rows of a query.
 
     The text is placed in a subquery, whose grammar admits queries only, so
-    commands and second statements do not parse. The limit is part of the plan.
+    commands and second statements do not parse.
     """
     query = sql.strip().removesuffix(";")
     # the closing bracket has its own line: a trailing comment cannot hide it
-    return spark.sql(f"SELECT * FROM (\n{query}\n) LIMIT {limit:d}")
+    return spark.sql(f"SELECT * FROM (\n{query}\n)")
 
 
-def run_query(spark: SparkSession, sql: str, limit: int = ROW_LIMIT) -> Answer:
-    """Run a query and keep its three bad outcomes apart."""
+def run_query(spark: SparkSession, sql: str, preview: int = PREVIEW_ROWS) -> Answer:
+    """Run a query, fetch ``preview`` rows, and keep its three bad outcomes apart."""
     if not sql.strip().upper().startswith(("SELECT", "WITH")):
         return Answer("rejected", message="only SELECT queries are allowed")
     try:
-        result = select_rows(spark, sql, limit)
+        result = select_rows(spark, sql)
     except ParseException as error:
         return Answer("rejected", message=str(error))
     except AnalysisException as error:
         return Answer("failed", message=str(error))
     try:
-        rows = result.collect()
+        rows = result.take(preview + 1)
     except PySparkException as error:
         return Answer("failed", message=str(error))
-    return Answer("rows", rows) if rows else Answer("empty")
+    return Answer("rows", rows[:preview], more=len(rows) > preview) if rows else Answer("empty")

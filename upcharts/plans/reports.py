@@ -122,7 +122,7 @@ def song_shapes(history: DataFrame, weeks: int = WINDOW_WEEKS, **cohort) -> Data
     debuts = debut_cohort(history, weeks=weeks, **cohort).select(*GENRE_KEYS, "debut_date")
     week, rank = F.col("week_number"), F.col("rank")
     return (
-        observation_window(debuts, history, weeks)
+        observation_window(debuts, history, weeks, cohort.get("cutoff"))
         .groupBy(*GENRE_KEYS)
         .agg(
             F.min(rank).alias("best"),

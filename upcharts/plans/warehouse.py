@@ -36,8 +36,8 @@ def cluster_by_week(history: DataFrame) -> DataFrame:
     partitioning this needs no sampling pass over the rows before it, and unlike
     a folder per week no small files when weeks are small.
     """
-    block = F.floor(F.col("rank") / ROWS_PER_BLOCK)
-    return history.repartition("chart_date", block).sortWithinPartitions("chart_date", "rank")
+    blocked = history.withColumn("block", F.floor(F.col("rank") / ROWS_PER_BLOCK))
+    return blocked.hint("rebalance", "chart_date", "block").sortWithinPartitions("chart_date", "rank").drop("block")
 
 
 def build_warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:

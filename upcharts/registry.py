@@ -1,5 +1,6 @@
 """Named queries over the sales tables: name -> (spark, sf_dir) -> DataFrame."""
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 from functools import partial
@@ -23,7 +24,8 @@ QUERIES: dict[str, Query] = {}
 
 # weeks before this date count as loaded already
 LOADED_BEFORE = date(1998, 1, 1)
-CALENDAR_START = date(1995, 1, 1)
+# before the first chart, so that the calendar has weeks the history lacks
+CALENDAR_START = date(1990, 1, 1)
 
 
 def query(fn: Query) -> Query:
@@ -131,6 +133,30 @@ on_history(
 )
 
 
+@query
+def manifest_roundtrip(spark, sf_dir):
+    history = warehouse(spark, sf_dir).history
+    path, manifest = fresh_path(spark, "recorded"), fresh_path(spark, "manifest")
+    # an early load, then all that is left, then nothing
+    loads.load_recorded(history.where(F.col("chart_date") < LOADED_BEFORE), manifest, path, approved=True)
+    for _ in range(2):
+        loads.load_recorded(history, manifest, path, approved=True)
+    return loads.read_manifest(spark, manifest)
+
+
+@query
+def stream_then_append(spark, sf_dir):
+    """Early weeks stream in, later ones are appended, and one is replaced; no row is lost."""
+    history = warehouse(spark, sf_dir).history
+    staged, target, checkpoint = (fresh_path(spark, n) for n in ("mixed_staged", "mixed_history", "mixed_state"))
+    early = F.col("chart_date") < LOADED_BEFORE
+    loads.export_ndjson(history.where(early).hint("rebalance", "chart_date"), staged)
+    load_stream(staged_stream(spark, staged), target, checkpoint).awaitTermination()
+    loads.append_history(history.where(~early), target)
+    loads.write_weeks(loads.latest_week(history), target)
+    return _joined(loads.read_history(spark, target), "genre_tags")
+
+
 @query
 def stream_load(spark, sf_dir):
     staged = fresh_path(spark, "stream_staged")
@@ -157,8 +183,10 @@ def literal_union(spark, sf_dir):
 
 @query
 def model_table(spark, sf_dir):
-    models.materialise_table(_model_ids(spark, sf_dir), "upcharts_model_ids", fresh_path(spark, "model_ids"))
-    return models.ref(spark, "upcharts_model_ids")
+    # a name of its own, so that runs side by side do not replace each other's table
+    name = f"upcharts_model_ids_{uuid.uuid4().hex[:12]}"
+    models.materialise_table(_model_ids(spark, sf_dir), name, fresh_path(spark, "model_ids"))
+    return models.ref(spark, name)
 
 
 @query
@@ -170,23 +198,9 @@ def model_view(spark, sf_dir):
 # --- calendar and completeness -------------------------------------------------
 
 
-def _debut_weeks(history: DataFrame, **chosen) -> DataFrame:
-    return cohort.debut_cohort(history, **chosen).select(F.col("debut_date").alias("chart_date"))
-
-
 on_history("week_calendar", lambda h: weeks.week_calendar(h, CALENDAR_START))
-on_debuts(
-    "missing_weeks",
-    lambda h, **c: weeks.missing_weeks(
-        weeks.week_calendar(h, CALENDAR_START), _debut_weeks(h, **c)
-    ),
-)
-on_debuts(
-    "backfill_summary",
-    lambda h, **c: weeks.backfill_summary(
-        weeks.week_calendar(h, CALENDAR_START), _debut_weeks(h, **c)
-    ),
-)
+on_history("missing_weeks", lambda h: weeks.missing_weeks(weeks.week_calendar(h, CALENDAR_START), h))
+on_history("backfill_summary", lambda h: weeks.backfill_summary(weeks.week_calendar(h, CALENDAR_START), h))
 
 
 @query
@@ -292,7 +306,7 @@ def match_summary(spark, sf_dir):
 
 
 def _observed(history: DataFrame, **chosen) -> DataFrame:
-    return cohort.observation_window(cohort.debut_cohort(history, **chosen), history)
+    return cohort.observation_window(cohort.debut_cohort(history, **chosen), history, cutoff=chosen.get("cutoff"))
 
 
 on_debuts("debut_cohort", lambda h, **c: _joined(cohort.debut_cohort(h, **c), "genre_tags"))

@@ -1,19 +1,16 @@
 """Session settings and the shared folder for intermediate tables."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# temporary folders of local applications without a shared folder
-_local_dirs: dict[str, str] = {}
-
 
 def build_session(app_name: str = "upcharts", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the package is tuned for.
 
-    On a cluster leave ``master`` unset; shuffle partitions then start high and
-    AQE coalesces them, so the same setting serves small and large inputs.
+    The settings are the same for every master. ``spark.sql.shuffle.partitions``
+    belongs to the input, not to the package: give it as the bytes to be shuffled
+    over 100 to 200 MB; AQE coalesces what turns out too small.
     """
     settings = {
         "spark.sql.adaptive.enabled": "true",
@@ -22,7 +19,6 @@ def build_session(app_name: str = "upcharts", master: str | None = None, **conf:
         # Parquet unpacks to a multiple of its file size; broadcast choices should know
         "spark.sql.sources.fileCompressionFactor": "3",
         "spark.sql.session.timeZone": "UTC",
-        "spark.sql.shuffle.partitions": "2000" if master is None else "8",
         "spark.ui.enabled": "false",
     }
     builder = SparkSession.builder.appName(app_name)
@@ -36,18 +32,13 @@ def build_session(app_name: str = "upcharts", master: str | None = None, **conf:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``.
 
-    Local mode without that setting falls back to a fresh temporary folder; on a
-    cluster a machine-local folder would be wrong, so the setting is required.
+    Where that is unset, a folder beside the tables of the warehouse, which a
+    cluster shares as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    app = spark.sparkContext.applicationId
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="upcharts-")
-    return _local_dirs[app]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -67,5 +58,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, in whatever store Spark reaches."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this package wrote."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def table_path(folder: str, table: str) -> str:
     return f"{folder.rstrip('/')}/{table}.parquet"

@@ -3,7 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from upcharts.schemas import CHART_HISTORY
+from upcharts.schemas import CHART_HISTORY, MANIFEST
+from upcharts.session import materialise, path_exists
 
 
 def conform(df: DataFrame, keep_new: bool = False) -> DataFrame:
@@ -42,7 +43,8 @@ def export_ndjson(df: DataFrame, path: str) -> None:
 
 
 def read_ndjson(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(CHART_HISTORY).json(path)
+    """Rows of exported files; a line that does not fit the schema fails the query."""
+    return spark.read.schema(CHART_HISTORY).option("mode", "FAILFAST").json(path)
 
 
 def evolve_schema(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -68,9 +70,8 @@ def staged_files(spark: SparkSession, glob: str) -> DataFrame:
 
 
 def _loaded_weeks(manifest: DataFrame) -> DataFrame:
-    # one date per week ever loaded: bounded by the calendar, so safe to broadcast,
-    # and the staged rows need no shuffle
-    return F.broadcast(manifest.select("chart_date").distinct())
+    # one date per week ever loaded: small, but Spark decides about broadcasting it
+    return manifest.select("chart_date").distinct()
 
 
 def pending_weeks(staged: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -88,6 +89,22 @@ def update_manifest(manifest: DataFrame, loaded: DataFrame) -> DataFrame:
     return manifest.select("chart_date").union(loaded.select("chart_date")).distinct()
 
 
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The stored manifest; a table that does not exist yet lists no week."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], MANIFEST)
+    return spark.read.schema(MANIFEST).parquet(path)
+
+
+def write_manifest(manifest: DataFrame, path: str) -> None:
+    """Store the manifest, sorted, in place of the earlier one.
+
+    The rows are written elsewhere first, as they may come from the table itself.
+    """
+    kept = materialise(manifest.select("chart_date").distinct(), "manifest")
+    kept.orderBy("chart_date").coalesce(1).write.mode("overwrite").parquet(path)
+
+
 def load_plan(pending: DataFrame, source: str, target: str) -> DataFrame:
     """One-row preview of a load: what would be written, before writing it."""
     weekly = pending.groupBy("chart_date").agg(F.count("*").alias("rows"))
@@ -121,6 +138,16 @@ def load_pending(staged: DataFrame, manifest: DataFrame, path: str, approved: bo
     """
     if not approved:
         return manifest.select("chart_date").distinct()
-    rows = pending_rows(conform(staged), manifest)
-    write_weeks(rows, path)
-    return update_manifest(manifest, rows.select("chart_date").distinct())
+    # the weeks are fixed before the write, so the result does not change after it
+    weeks = materialise(pending_weeks(staged, manifest), "pending_weeks")
+    write_weeks(conform(staged).join(weeks, "chart_date", "left_semi"), path)
+    return update_manifest(manifest, weeks)
+
+
+def load_recorded(staged: DataFrame, manifest_path: str, path: str, approved: bool = False) -> DataFrame:
+    """``load_pending`` with a stored manifest, which advances only after the load."""
+    manifest = read_manifest(staged.sparkSession, manifest_path)
+    updated = load_pending(staged, manifest, path, approved)
+    if approved:
+        write_manifest(updated, manifest_path)
+    return read_manifest(staged.sparkSession, manifest_path)

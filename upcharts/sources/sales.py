@@ -180,17 +180,11 @@ def snapshot_pages(entries: DataFrame, page_size: int = 25) -> DataFrame:
 
 
 def fetched_pages(entries: DataFrame, page_size: int = 25) -> DataFrame:
-    """Every page number asked for in every week; pages past a week's end are empty."""
-    pages = snapshot_pages(entries, page_size)
-    deepest = pages.select(F.max("page")).scalar()
-    asked = (
-        entries.select("chart_date")
-        .distinct()
-        .select("chart_date", F.explode(F.sequence(F.lit(0), deepest)).alias("page"))
-    )
-    return asked.join(pages, ["chart_date", "page"], "left").select(
-        "chart_date", "page", F.coalesce("entries", F.array().cast(pages.schema["entries"].dataType)).alias("entries")
-    )
+    """The pages of each week up to the first empty one, which ends its fetch."""
+    pages = snapshot_pages(entries, page_size).select("chart_date", "page", "entries")
+    nothing = F.array().cast(pages.schema["entries"].dataType).alias("entries")
+    last = pages.groupBy("chart_date").agg((F.max("page") + 1).alias("page"))
+    return pages.unionByName(last.select("chart_date", "page", nothing))
 
 
 def refetched_pages(entries: DataFrame, page_size: int = 25) -> DataFrame:

@@ -1,42 +1,61 @@
 """Raw inputs: weekly snapshot documents and artist metadata."""
 
+from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from upcharts.schemas import ARTIST_METADATA, SNAPSHOT
 
 
 def read_snapshots(spark: SparkSession, glob: str, multi_line: bool = True) -> DataFrame:
-    """One row per snapshot document.
+    """One row per snapshot document, with ``ingested_at`` and ``row_no`` (see ``_read``).
 
     ``multi_line=False`` reads one document per line, which Spark can split.
     """
-    return spark.read.schema(SNAPSHOT).option("multiLine", multi_line).json(glob)
+    return _read(spark, SNAPSHOT, glob, multi_line)
 
 
 def read_artist_metadata(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """One row per element of the metadata array (file order is not kept)."""
-    return spark.read.schema(ARTIST_METADATA).option("multiLine", multi_line).json(path)
+    """One row per element of the metadata array, with ``ingested_at`` and ``row_no``."""
+    return _read(spark, ARTIST_METADATA, path, multi_line)
 
 
-def latest_metadata(metadata: DataFrame, order: str) -> DataFrame:
+def _read(spark: SparkSession, schema: StructType, path: str, multi_line: bool) -> DataFrame:
+    """JSON files, with the file's time as ``ingested_at`` and a number that grows within a file.
+
+    A record that does not fit the schema fails the query; nothing is skipped.
+    """
+    reader = spark.read.schema(schema).option("multiLine", multi_line).option("mode", "FAILFAST")
+    return reader.json(path).select(
+        "*",
+        F.col("_metadata.file_modification_time").alias("ingested_at"),
+        F.monotonically_increasing_id().alias("row_no"),
+    )
+
+
+def latest_metadata(metadata: DataFrame, *order: str) -> DataFrame:
     """One row per credit; the row with the highest ``order`` wins."""
-    return _latest(metadata, ["artist"], F.col(order), [c for c in metadata.columns if c != "artist"])
+    return _latest(metadata, ["artist"], order)
 
 
-def latest_snapshots(snapshots: DataFrame, keys: tuple[str, ...] = ("chart_date",), order: str = "ingested_at") -> DataFrame:
+def latest_snapshots(snapshots: DataFrame, keys: tuple[str, ...] = ("chart_date",), order: tuple[str, ...] = ("ingested_at",)) -> DataFrame:
     """One document per key; a re-fetch replaces the earlier document."""
-    return _latest(snapshots, list(keys), F.col(order), [c for c in snapshots.columns if c not in keys])
+    return _latest(snapshots, list(keys), order)
 
 
-def _latest(df: DataFrame, keys: list[str], order: Column, payload: list[str]) -> DataFrame:
+def _latest(df: DataFrame, keys: list[str], order: Sequence[str]) -> DataFrame:
     # max_by combines on the map side, so a key with many versions is never
-    # gathered and sorted in one task as row_number would
+    # gathered and sorted in one task as row_number would. The order is a struct:
+    # rows without an order value come first but keep their payload, and equal
+    # order values are decided by content.
+    payload = [c for c in df.columns if c not in keys]
+    rank = F.struct(*order, F.xxhash64(*payload).alias("content"))
     return (
         df.groupBy(*keys)
-        .agg(F.max_by(F.struct(*payload), order).alias("latest"))
+        .agg(F.max_by(F.struct(*payload), rank).alias("latest"))
         .select(*keys, *[F.col(f"latest.{c}").alias(c) for c in payload])
         .select(*df.columns)
     )
