@@ -36,8 +36,8 @@ EPOCHS = 5
 BATCH = 192
 LANES = 2048
 RATE = 0.02
-#: a document is rejected if no language reaches this share of its letters' probability
-MIN_SCORE = 0.35
+#: a document is rejected if its best language has under this multiple of an even share
+MIN_LIFT = 1.1
 
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
@@ -237,7 +237,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     return in_tasks(rows, _predict(model), "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def _spoken(model: Model, min_score: float):
+def _spoken(model: Model, min_lift: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -245,13 +245,16 @@ def _spoken(model: Model, min_score: float):
                 part = batch.column("text").slice(row, end - row)
                 spoken = np.array([t is not None and any(map(str.isalpha, t)) for t in part.to_pylist()], bool)
                 if model.languages:
-                    spoken &= model.pooled(data, offsets).max(axis=1) >= min_score
+                    spoken &= model.pooled(data, offsets).max(axis=1) * len(model.languages) >= min(min_lift, len(model.languages))
                 keep.append(spoken)
             yield batch.filter(pa.array(np.concatenate(keep) if keep else [], pa.bool_()))
 
     return run
 
 
-def drop_unidentified(docs: DataFrame, model: Model, min_score: float = MIN_SCORE) -> DataFrame:
-    """The rows of ``docs`` in a language: not ``und``, and some language reaches ``min_score``."""
-    return in_tasks(docs, _spoken(model, min_score), docs.schema)
+def drop_unidentified(docs: DataFrame, model: Model, min_lift: float = MIN_LIFT) -> DataFrame:
+    """The rows of ``docs`` in a language: not ``und``, and one language stands out by ``min_lift``.
+
+    Mixed and short documents stay; the network has to be at a loss for one to go.
+    """
+    return in_tasks(docs, _spoken(model, min_lift), docs.schema)
