@@ -213,11 +213,13 @@ def repeated_pieces(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     seed = min(SEED, window)
     texts = docs.select(*row_key(), "text")
     pieces = materialise(in_tasks(texts, _text_pieces(window, seed), _PIECE), "path_pieces")
-    seeds = (
+    # stored, so that the join below reads two plain shuffles and AQE can split a hot seed
+    seeds = materialise(
         pieces.groupBy("seed")
         .agg(F.count("*").alias("n"), F.min("path").alias("low"), F.max("path").alias("high"))
         .where("n > 1")
-        .select("seed", (F.col("low") != F.col("high")).alias("branches"))
+        .select("seed", (F.col("low") != F.col("high")).alias("branches")),
+        "repeated_seeds",
     )
     repeated = materialise(pieces.join(seeds, "seed"), "repeated_pieces")
     place = F.struct("_id", "_check", "start")
