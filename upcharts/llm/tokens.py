@@ -16,11 +16,11 @@ from upcharts.llm.text import Words, words_of
 
 END = 1
 VOCABULARY = "word_bpe_49k.json"
-# distinct pieces a worker remembers; beyond that it starts over
-REMEMBERED = 1_400_000
+# distinct pieces, and distinct units of pieces, a worker remembers; beyond that it starts over
+REMEMBERED = 1_000_000
 LONGEST = 64
 # bytes of text encoded at a time; pieces are looked up once in each
-SLICE = 4 << 20
+SLICE = 2 << 20
 
 _LETTERS = re.compile(rb"([A-Za-z]+)([!-&(-/:-@\[-`{-~]*)")
 
@@ -43,11 +43,12 @@ class Encoder:
 
     def _forget(self) -> None:
         # a piece is one or two units (letters, punctuation); unit 0 has no ids
-        self.known: dict[bytes, int] = {}
         self.units: dict[bytes, int] = {b"": 0}
         self.ids = np.empty(1 << 20, np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32)
         self.starts = np.zeros(1 << 18, np.int64)  # unit i owns ids starts[i]:starts[i+1]
         self.count = 1
+        # known pieces by hash, ascending: their marks and codes; the last entry fits no piece
+        self.hashes, self.marks, self.codes = np.full(1, ~np.uint64(0)), np.full(1, -1), np.zeros(1, np.int64)
 
     def _encode(self, pieces: list[bytes]) -> None:
         """Append the ids of pieces free of ASCII white space as new units."""
@@ -65,7 +66,8 @@ class Encoder:
             self.starts[self.count + 1 : self.count + len(part) + 1] = bounds
             self.count += len(part)
 
-    def _add(self, pieces: list[bytes]) -> None:
+    def _add(self, pieces: list[bytes]) -> np.ndarray:
+        """Codes of the pieces: the unit of the letters, and above it that of the punctuation."""
         units, fresh, parts = self.units, [], []
         for p in pieces:
             found = _LETTERS.fullmatch(p) if len(p) <= LONGEST else None
@@ -76,34 +78,46 @@ class Encoder:
                     units[x] = self.count + len(fresh)
                     fresh.append(x)
         self._encode(fresh)
-        self.known.update((p, units[a] | units[b] << 32) for p, (a, b) in zip(pieces, parts, strict=True))
+        return np.fromiter((units[a] | units[b] << 32 for a, b in parts), np.int64, len(parts))
 
-    def _codes(self, data: np.ndarray, words: Words) -> tuple[np.ndarray, list[bytes]]:
-        """The known code of each word, and the long pieces among them, which are not kept."""
+    def _look_up(self, data: np.ndarray, words: Words) -> tuple[np.ndarray, list[bytes]]:
+        """The code of each word, and the long pieces among them, which are not kept.
+
+        A known piece is told by its hash of 64 bits, its length, and its first and last byte.
+        """
+        lengths = words.ends - words.starts
+        marks = lengths << 16 | data[words.starts].astype(np.int64) << 8 | data[words.ends - 1]
         kinds, first, place = np.unique(words.hashes, return_index=True, return_inverse=True)
+        alike = bool((marks == marks[first][place]).all())
+        if not alike:
+            # different words with one hash: each word is encoded by itself, and none is kept
+            kinds, first = words.hashes, np.arange(len(marks))
+            place = first
+        at = np.searchsorted(self.hashes, kinds)
+        same = self.hashes[at] == kinds
+        known = same & (self.marks[at] == marks[first]) & alike
+        codes = np.empty(len(first), np.int64)
+        codes[known] = self.codes[at[known]]
+        short = lengths[first] <= LONGEST
         raw = data.tobytes()
-        pieces = [raw[a:b] for a, b in zip(words.starts[first].tolist(), words.ends[first].tolist(), strict=True)]
-        # words with one hash must agree in length and in their first and last bytes
-        for own in (words.ends - words.starts, data[words.starts], data[words.ends - 1]):
-            if (own != own[first][place]).any():
-                spans = zip(words.starts.tolist(), words.ends.tolist(), strict=True)
-                pieces, place = [raw[a:b] for a, b in spans], np.arange(len(words.starts))
-                break
-        fresh = [p for p in dict.fromkeys(pieces) if p not in self.known]
-        self._add([p for p in fresh if len(p) <= LONGEST])
-        long = [p for p in fresh if len(p) > LONGEST]
+        taken = lambda which: [raw[a:b] for a, b in zip(words.starts[first[which]].tolist(), words.ends[first[which]].tolist(), strict=True)]
+        codes[short & ~known] = self._add(taken(short & ~known))
         self.kept = self.count
-        self._add(long)
-        codes = np.fromiter(map(self.known.__getitem__, pieces), np.int64, len(pieces))
+        long = taken(~short)
+        codes[~short] = self._add(long)
+        new = short & ~same & alike
+        self.hashes = np.insert(self.hashes, at[new], kinds[new])
+        self.marks = np.insert(self.marks, at[new], marks[first[new]])
+        self.codes = np.insert(self.codes, at[new], codes[new])
         return codes[place], long
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end: int | None = END) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts ``data[offsets[i]:offsets[i+1]]`` in a row, and the bounds of each text's."""
-        if len(self.known) > REMEMBERED:
+        if max(self.count, len(self.hashes)) > REMEMBERED:
             self._forget()
         data = data[int(offsets[0]) : int(offsets[-1])]
         words = words_of(data, offsets - offsets[0])
-        codes, long = self._codes(data, words)
+        codes, long = self._look_up(data, words)
         units = np.stack([codes & 0xFFFFFFFF, codes >> 32], axis=1).ravel()
         first = self.starts[units]
         lengths = self.starts[units + 1] - first
@@ -118,7 +132,7 @@ class Encoder:
             spot[bounds[1:] - 1] = False
         out[spot] = self.ids[place]
         for p in long:
-            del self.known[p], self.units[p]
+            self.units.pop(p, None)
         self.count = self.kept
         return out, bounds
 
