@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 import upcharts
 
+# a task and its Python worker hold a batch several times over, so that it is kept far
+# below Spark's own bound of 64 MB; a single larger row is a batch of its own
+BATCH_BYTES = 4 << 20
+
 _shipped: set[str] = set()
 
 
@@ -28,6 +32,10 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def in_tasks(df: DataFrame, function: Callable, schema: str) -> DataFrame:
-    """``df.mapInArrow`` with a function of this package."""
+    """``df.mapInArrow`` with a function of this package, over batches of bounded size.
+
+    The bound is a setting of the session and stays in force.
+    """
     ship_package(df.sparkSession)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return df.mapInArrow(function, schema)
