@@ -3,8 +3,9 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
-from upcharts.operators import cohort
+from upcharts.operators import cohort, profile
 from upcharts.plans import reports
 from upcharts.plans.warehouse import warehouse
 from upcharts.registry import QUERIES
@@ -20,7 +21,28 @@ def final_plan(df) -> str:
 
 
 # these write files, so their plan is a plain read
-SINKS = {"write_staged_roundtrip", "ndjson_roundtrip", "append_history", "stream_load", "stream_then_append", "manifest_roundtrip", "model_table"}
+SINKS = {
+    "read_snapshots",
+    "read_metadata",
+    "staged_files",
+    "stored_evolution",
+    "write_staged_roundtrip",
+    "ndjson_roundtrip",
+    "append_history",
+    "stream_load",
+    "stream_then_append",
+    "manifest_roundtrip",
+    "model_table",
+}
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Joins as they are planned when no side is small."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - SINKS))
@@ -42,17 +64,31 @@ def test_observation_join_runs_once(spark, sf_dir, report):
     assert text.count("Join [title") == 1
 
 
-def test_history_scan_is_bounded_by_the_cutoff(spark, sf_dir):
+@pytest.mark.parametrize("report", ["recurrence_summary", "genre_climb_robust", "method_agreement"])
+def test_observation_join_runs_once_without_broadcasts(spark, sf_dir, no_broadcast, report):
+    assert final_plan(QUERIES[report](spark, sf_dir)).count("Join [title") == 1
+
+
+def test_history_scan_is_bounded_by_the_cutoff(spark, sf_dir, no_broadcast):
     base = warehouse(spark, sf_dir)
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        text = plan(cohort.best_rank(base.history, debuts=base.debuts, cutoff=date(1995, 1, 7)))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    text = plan(cohort.best_rank(base.history, debuts=base.debuts, cutoff=date(1995, 1, 7)))
     assert "LessThanOrEqual(chart_date,1995-03-04)" in text
 
 
+def test_tag_clusters_join_once(spark, sf_dir, no_broadcast):
+    base = warehouse(spark, sf_dir)
+    songs = base.entries.select("title", "artist").distinct().withColumn("tags", F.array("title", "artist"))
+    assert plan(profile.tag_clusters(songs)).count("SortMergeJoin") == 1
+
+
+def test_songs_debut_again_and_some_fields_are_missing(spark, sf_dir):
+    base = warehouse(spark, sf_dir)
+    debuts = base.debuts.groupBy("title", "artist").agg(F.count("*").alias("n"))
+    assert debuts.where("n > 1").count() > 0
+    assert base.entries.where("weeks_on_chart IS NULL").count() > 0
+    assert base.entries.where("last_pos IS NULL").count() > 0
+
+
 def test_join_key_is_sliced_by_time(spark, sf_dir):
     base = warehouse(spark, sf_dir)
     text = plan(cohort.best_rank(base.history, debuts=base.debuts, cutoff=base.cutoff))

@@ -8,7 +8,7 @@ _SPACE = r"[\s\x1c-\x1f]"
 
 # Separators between lead artist and collaborators, tried in this
 # order; each must be surrounded by white space (the comma: followed by it).
-_SEPARATORS = ("Featuring", r"Feat\.", r"feat\.", "With", "&", "[xX]")
+SEPARATORS = ("Featuring", r"Feat\.", r"feat\.", "With", "&", "[xX]", ",")
 
 
 def primary_artist(credit: Column | str) -> Column:
@@ -17,7 +17,7 @@ def primary_artist(credit: Column | str) -> Column:
     Case-sensitive. The result may be an empty string (``" & Foo"``).
     """
     lead = F.col(credit) if isinstance(credit, str) else credit
-    patterns = [f"(?U){_SPACE}+{word}{_SPACE}+" for word in _SEPARATORS] + [f"(?U),{_SPACE}+"]
-    for pattern in patterns:
-        lead = F.split(lead, pattern, 2)[0]
+    for separator in SEPARATORS:
+        gap = "" if separator == "," else f"{_SPACE}+"
+        lead = F.split(lead, f"(?U){gap}{separator}{_SPACE}+", 2)[0]
     return F.regexp_replace(lead, f"(?U)^{_SPACE}+|{_SPACE}+$", "")

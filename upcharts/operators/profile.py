@@ -38,7 +38,8 @@ def tag_clusters(songs: DataFrame) -> DataFrame:
 
     Song sets are compared by fingerprints that combine on the map side, so the
     songs of a tag are never gathered. Each candidate is then checked song by
-    song against its cluster's first tag and listed only if the sets are equal.
+    song against its cluster's first tag, which must be among the same song's tags,
+    and listed only if the sets are equal.
     """
     pairs = songs.select(*SONG, F.explode(F.array_distinct("tags")).alias("tag")).distinct()
     song = F.xxhash64(*SONG)
@@ -47,17 +48,19 @@ def tag_clusters(songs: DataFrame) -> DataFrame:
         F.bit_xor(song).alias("mixed"),
         F.sum(song.cast("decimal(20,0)")).alias("summed"),
     )
-    alike = (
+    # tags of equal song sets all sit on one song, so a group is as small as a song's tags
+    candidates = (
         prints.groupBy("n_songs", "mixed", "summed")
-        .agg(F.min("tag").alias("cluster"), F.count("*").alias("tags"))
-        .where(F.col("tags") > 1)
-        .drop("tags")
+        .agg(F.min("tag").alias("cluster"), F.collect_list("tag").alias("tags"))
+        .where(F.size("tags") > 1)
+        .select("cluster", "n_songs", F.explode("tags").alias("tag"))
     )
-    members = prints.join(alike, ["n_songs", "mixed", "summed"]).select("tag", "cluster", "n_songs")
-    first_songs = pairs.withColumnRenamed("tag", "cluster")
+    per_song = pairs.join(candidates, "tag").groupBy(*SONG).agg(
+        F.collect_list(F.struct("cluster", "tag", "n_songs")).alias("found")
+    )
+    beside_first = F.filter("found", lambda c: F.array_contains(F.col("found.tag"), c["cluster"]))
     return (
-        pairs.join(members, "tag")
-        .join(first_songs, ["cluster", *SONG])
+        per_song.select(F.inline(beside_first))
         .groupBy("cluster", "tag", "n_songs")
         .agg(F.count("*").alias("shared"))
         .where(F.col("shared") == F.col("n_songs"))

@@ -13,6 +13,7 @@ from upcharts.functions.tags import genre_family
 from upcharts.operators import cohort, matching, movement, profile, quality, staging, trajectory
 from upcharts.plans import adhoc, reports
 from upcharts.plans.warehouse import warehouse
+from upcharts.schemas import ARTIST_METADATA
 from upcharts.session import fresh_path, table_path
 from upcharts.sources import history as loads
 from upcharts.sources import models, sales, snapshots, weeks
@@ -85,6 +86,46 @@ def snapshot_dedup(spark, sf_dir):
     )
 
 
+@query
+def date_fallback(spark, sf_dir):
+    """Documents without a date, here every other page, get the fallback date."""
+    pages = sales.snapshot_pages(warehouse(spark, sf_dir).entries)
+    undated = pages.withColumn("chart_date", F.when(F.col("page") % 2 == 0, F.col("chart_date")))
+    return snapshots.explode_entries(undated, fallback_date=LOADED_BEFORE)
+
+
+@query
+def read_snapshots(spark, sf_dir):
+    """Pages fetched twice and stored as JSON files; the later files win."""
+    pages = sales.snapshot_pages(warehouse(spark, sf_dir).entries)
+    stale = F.transform("entries", lambda e: e.withField("title", F.lit("to be announced")))
+    path = fresh_path(spark, "snapshot_files")
+    for fetched in (pages.withColumn("entries", stale), pages):
+        fetched.drop("page").write.mode("append").json(path)
+    stored = snapshots.read_snapshots(spark, path, multi_line=False).withColumn("page", F.col("entries")[0]["rank"])
+    return snapshots.explode_entries(snapshots.latest_snapshots(stored, keys=("chart_date", "page")))
+
+
+@query
+def read_metadata(spark, sf_dir):
+    """Metadata stored twice, first as lookups that all failed; the later file's rows win."""
+    metadata = warehouse(spark, sf_dir).metadata
+    failed = metadata.withColumns({"found": F.lit(False), "error": F.lit("lookup timed out"), "tags": F.lit(None)})
+    path = fresh_path(spark, "metadata_files")
+    for stored in (failed, metadata):
+        stored.select(ARTIST_METADATA.fieldNames()).write.mode("append").json(path)
+    latest = snapshots.latest_metadata(snapshots.read_artist_metadata(spark, path, multi_line=False), "ingested_at")
+    return _joined(latest.drop("ingested_at", "row_no"), "tags")
+
+
+@query
+def staged_files(spark, sf_dir):
+    """Weeks told from the paths of staged files."""
+    path = fresh_path(spark, "staged_paths")
+    loads.write_weeks(warehouse(spark, sf_dir).history, path)
+    return loads.staged_files(spark, f"{path}/*/*.parquet").select("chart_date").distinct()
+
+
 @query
 def write_staged_roundtrip(spark, sf_dir):
     history = warehouse(spark, sf_dir).history
@@ -120,6 +161,19 @@ def schema_evolution(spark, sf_dir):
     return loads.evolve_schema(rows.where(F.col("chart_date") < LOADED_BEFORE), new)
 
 
+@query
+def stored_evolution(spark, sf_dir):
+    """A later load brings a column to the stored table; rows loaded before read NULL there."""
+    history = warehouse(spark, sf_dir).history
+    path = fresh_path(spark, "evolved")
+    early = F.col("chart_date") < LOADED_BEFORE
+    loads.append_history(history.where(early), path)
+    loads.append_history(
+        history.where(~early).withColumn("delta", F.col("last_pos") - F.col("rank")), path, allow_new=True
+    )
+    return _joined(loads.read_history(spark, path, merge_schema=True), "genre_tags")
+
+
 on_history("latest_snapshot", lambda h: _joined(loads.latest_week(h), "genre_tags"))
 on_history("pending_weeks", lambda h: loads.pending_weeks(h, _manifest(h)))
 on_history(

@@ -15,6 +15,13 @@ HOUSE_ACT = "House Ensemble"
 # songs per rank block; bounds every ranking group
 _RANK_BLOCK = 100_000
 
+# a song away for longer debuts again
+_AWAY_WEEKS = 52
+
+# every so manieth song lacks the field, as some documents do
+_NO_WEEKS = 47
+_NO_LAST_POS = 31
+
 
 def _saturday(d: Column) -> Column:
     return F.next_day(F.date_sub(d, 1), "SAT")
@@ -121,20 +128,33 @@ def chart_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw chart entries of all weeks: chart_date and the six entry fields.
 
     A song has one row per week it sold in, so the per-song window is bounded by
-    the number of weeks.
+    the number of weeks. A song that was away for over ``_AWAY_WEEKS`` debuts again.
+    Some songs' documents lack weeks_on_chart or last_pos.
     """
     song = Window.partitionBy("song_key").orderBy("chart_date")
     so_far = song.rowsBetween(Window.unboundedPreceding, 0)
-    last_week = F.lag("chart_date").over(song) == F.date_sub("chart_date", 7)
+    before = F.lag("chart_date").over(song)
+    place = F.row_number().over(song)
     placed = rank_within_week(weekly_volumes(spark, sf_dir)).select(
         "chart_date",
         "song_key",
         "rank",
-        F.row_number().over(song).alias("weeks_on_chart"),
+        place.alias("place"),
+        # the place of each debut, the first or one after a long absence
+        F.when(before.isNull() | (F.date_diff("chart_date", before) > 7 * _AWAY_WEEKS), place).alias("debut_place"),
         F.min("rank").over(so_far).alias("peak_pos"),
-        F.when(last_week, F.lag("rank").over(song)).otherwise(0).alias("last_pos"),
+        F.when(before == F.date_sub("chart_date", 7), F.lag("rank").over(song)).otherwise(0).alias("last_pos"),
+    )
+    weeks = F.col("place") - F.max("debut_place").over(so_far) + 1
+    numbered = placed.select(
+        "chart_date",
+        "song_key",
+        "rank",
+        F.when(F.col("song_key") % _NO_WEEKS != 0, weeks).alias("weeks_on_chart"),
+        "peak_pos",
+        F.when(F.col("song_key") % _NO_LAST_POS != 0, F.col("last_pos")).alias("last_pos"),
     )
-    return placed.join(songs(spark, sf_dir), "song_key").select(
+    return numbered.join(songs(spark, sf_dir), "song_key").select(
         "chart_date", "rank", "title", "artist", "weeks_on_chart", "peak_pos", "last_pos"
     )
 
