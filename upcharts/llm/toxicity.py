@@ -8,9 +8,10 @@
    be read as the letters it can stand for, once or twice, or as a boundary, and
    separators may vanish; each reading has a channel cost. Viterbi finds the best path
    under trigram model and costs. Everywhere else the lattice has one path, the text.
-3. Features are the words of the restored text, cut after four and after five bytes;
-   a document has a feature or not. The ``FEATURES`` that most surely are commoner under
-   label 1 are weighed by logistic regression.
+3. Features are the whole words of the restored text, and the runs of ``GRAMS``
+   characters at every place inside a word, so that a word in a compound or in unspaced
+   script is met as well; a document has a feature or not. The ``FEATURES`` that most
+   surely are commoner under label 1 are weighed by logistic regression.
 
 Labels are learnt from at most ``SAMPLE`` rows of each label value, those with the least
 hash of doc_id among rows whose crc32(doc_id as text) mod 5 is not 0; weights restore
@@ -32,12 +33,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from upcharts.llm.ship import in_tasks
-from upcharts.llm.text import mix, signed, text_slices
+from upcharts.llm.text import mix, run_hashes, signed, text_slices, words_of
 from upcharts.session import materialise
 
 SAMPLE = 10_000
 FEATURES = 256
-STEMS = (4, 5)
+GRAMS = (2, 3, 4, 5)
 SYMBOLS = 28
 OTHER = 27
 
@@ -233,10 +234,10 @@ class Restorer:
 # --- features ----------------------------------------------------------------------
 
 
-def stem_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(text, feature) of all word stems; a word's first bytes as a number, hashed.
+def _distinct_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(text, distinct word) of each word, the distinct words' hashes, and their characters.
 
-    A word cut short keeps its length out of the feature, a word that fits has a mark.
+    Characters are hashed one by one; they come with the distinct words' sizes.
     """
     low = _FOLD[data]
     solid = low != 32
@@ -247,27 +248,67 @@ def stem_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     last = solid.copy()
     last[:-1] &= ~solid[1:] | cut[1:-1]
     starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    size = ends - starts
     doc = np.searchsorted(offsets, starts, "right") - 1
-    padded = np.concatenate([low, np.zeros(max(STEMS), np.uint8)])
-    docs, out = [], []
-    for stem in STEMS:
-        value = np.zeros(len(starts), np.uint64)
-        for k in range(stem):
-            value = value * np.uint64(256) + np.where(size > k, padded[starts + k], 0).astype(np.uint64)
-        whole = (size <= stem).astype(np.uint64)
-        docs.append(doc)
-        out.append(mix(value * np.uint64(16) + np.uint64(stem * 2) + whole))
-    return np.concatenate(docs), np.concatenate(out)
-
-
-def _unique_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    doc, feature = stem_features(data, offsets)
-    order = np.lexsort((feature, doc))
-    doc, feature = doc[order], feature[order]
-    new = np.ones(len(doc), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (feature[1:] != feature[:-1])
-    return doc[new], feature[new]
+    hashes, one, word = np.unique(words_of(low, offsets).hashes, return_index=True, return_inverse=True)
+    starts, size = starts[one], ends[one] - starts[one]
+    # the bytes of the distinct words behind one another
+    begin = np.cumsum(size) - size
+    at = np.arange(int(size.sum())) + np.repeat(starts - begin, size)
+    text = low[at]
+    # a character begins at every byte but 80-BF, and at each word's first
+    head = (text & 0xC0) != 0x80
+    head[begin] = True
+    at = np.flatnonzero(head)
+    after = np.append(at[1:], len(text))
+    padded = np.append(text, np.zeros(3, np.uint8)).astype(np.uint32)
+    value = padded[at]
+    for k in (1, 2, 3):
+        value |= np.where(at + k < after, padded[at + k], np.uint32(0)) << np.uint32(8 * k)
+    owner = np.repeat(np.arange(len(size)), size)[at]
+    return doc, word, mix(hashes), mix(value.astype(np.uint64)), np.bincount(owner, minlength=len(size))
+
+
+def _word_runs(hashes: np.ndarray, char: np.ndarray, size: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(word, feature) of distinct words: the words themselves, then each length of run."""
+    yield np.arange(len(hashes)), hashes
+    owner = np.repeat(np.arange(len(size)), size)
+    for n in GRAMS:
+        runs = run_hashes(char, n, seed=n)
+        fits = owner[: len(runs)] == owner[n - 1 :]
+        yield owner[: len(runs)][fits], runs[fits]
+
+
+def _joined(parts: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    words, features = zip(*parts, strict=True)
+    return np.concatenate(words), np.concatenate(features)
+
+
+def _expanded(doc: np.ndarray, word: np.ndarray, owner: np.ndarray, place: np.ndarray, kinds: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text, place), each once, where word ``owner[i]`` has the feature at ``place[i]`` of ``kinds``."""
+    order = np.argsort(owner, kind="stable")
+    owner, place = owner[order], place[order]
+    words = int(word.max()) + 1 if len(word) else 0
+    both = np.unique(doc * words + word) if words else np.empty(0, np.int64)
+    doc, word = (both // words, both % words) if words else (both, both)
+    low, high = np.searchsorted(owner, word, "left"), np.searchsorted(owner, word, "right")
+    many = high - low
+    at = np.arange(int(many.sum())) + np.repeat(low - (np.cumsum(many) - many), many)
+    both = np.unique(np.repeat(doc, many) * kinds + place[at])
+    return both // kinds, both % kinds
+
+
+def word_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text, feature), each once, of all words and of the runs of ``GRAMS`` characters inside them.
+
+    Lengths count characters, not bytes; a whole word and a run of the same characters differ.
+    """
+    doc, word, *kept = _distinct_words(data, offsets)
+    owner, feature = _joined(_word_runs(*kept))
+    kinds, place = np.unique(feature, return_inverse=True)
+    if not len(kinds):
+        return np.empty(0, np.int64), kinds
+    doc, place = _expanded(doc, word, owner, place, len(kinds))
+    return doc, kinds[place]
 
 
 def _label_counts(model: np.ndarray):
@@ -276,7 +317,7 @@ def _label_counts(model: np.ndarray):
         for batch in batches:
             label = batch.column("toxic").to_numpy()
             for row, end, data, offsets in text_slices(batch.column("text")):
-                doc, feature = _unique_features(*restorer.texts(data, offsets))
+                doc, feature = word_features(*restorer.texts(data, offsets))
                 toxic = label[row:end][doc]
                 kinds, place = np.unique(feature, return_inverse=True)
                 yield pa.record_batch(
@@ -292,11 +333,19 @@ def _label_counts(model: np.ndarray):
 
 def _presence(restorer: Restorer, chosen: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(text, place in ``chosen``) of the chosen features of each text, each once."""
-    doc, feature = stem_features(*restorer.texts(data, offsets))
-    at = np.minimum(np.searchsorted(chosen, feature), len(chosen) - 1)
-    found = chosen[at] == feature
-    both = np.unique(doc[found] * len(chosen) + at[found])
-    return both // len(chosen), both % len(chosen)
+    doc, word, *kept = _distinct_words(*restorer.texts(data, offsets))
+    # most features fail a look at 16 of their bits
+    maybe = np.zeros(1 << 16, bool)
+    maybe[chosen & np.uint64(0xFFFF)] = True
+    owners, places = [], []
+    for owner, feature in _word_runs(*kept):
+        near = np.flatnonzero(maybe[feature & np.uint64(0xFFFF)])
+        owner, feature = owner[near], feature[near]
+        at = np.minimum(np.searchsorted(chosen, feature), len(chosen) - 1)
+        found = chosen[at] == feature
+        owners.append(owner[found])
+        places.append(at[found])
+    return _expanded(doc, word, np.concatenate(owners), np.concatenate(places), len(chosen))
 
 
 def _sample_presence(model: np.ndarray, chosen: np.ndarray):
