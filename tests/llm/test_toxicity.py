@@ -43,3 +43,32 @@ def test_features_stay_in_their_text():
     doc, feature = toxicity.word_features(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
     for i, t in enumerate(texts):
         assert set(feature[doc == i].tolist()) == (_features(t) if t else set())
+
+
+def _english():
+    """A character model of a few words, as ``character_model`` counts it."""
+    counts = np.full((toxicity.SYMBOLS,) * 3, 0.1)
+    for word in ["idiot", "shit", "moron", "loser", "letter", "hello", "with", "this", "ass"] * 200:
+        codes = [0, 0, *(ord(c) - 96 for c in word), 0]
+        for x, y, z in zip(codes, codes[1:], codes[2:], strict=False):
+            counts[x, y, z] += 1
+    return np.log(counts / counts.sum(axis=2, keepdims=True))
+
+
+def test_the_gate_passes_what_the_lattice_reads():
+    restorer = toxicity.Restorer(_english())
+    masked = {"a$$": "ass", "idio+": "idiot", "shi+": "shit", "iiddiioott": "idiot", "mmoron": "moron"}
+    masked |= {sep.join("idiot"): "idiot" for sep in (" ", "  ", "/", ",", ", ", "\n", "|", " - ", ";;")}
+    # what is clean stays
+    masked |= {"hello": "hello", "letter": "letter", "hello!": "hello", "with this!": "with this", "a b": "a b"}
+    for text, plain in masked.items():
+        assert restorer.texts(*_bytes(text))[0].tobytes().decode().strip() == plain, text
+
+
+def test_changed_words_stay_features_as_given():
+    model = _english()
+    model[1, 19, 19] = -30.0  # nothing but "as" is read where a second s follows
+    restorer = toxicity.Restorer(model)
+    assert restorer.texts(*_bytes("ass"))[0].tobytes() == b"as"
+    found = set(toxicity.word_features(*restorer.texts(*_bytes("ass"), given=True))[1].tolist())
+    assert _features("ass") <= found and _features("as") <= found

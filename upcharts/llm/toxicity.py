@@ -2,13 +2,15 @@
 
 1. A character trigram model is counted over all documents (26 letters, one symbol for
    other letters, one for a boundary).
-2. Stretches that look obfuscated are decoded: letters mixed with digits or signs that
-   stand for letters, letters repeated three times or more, single letters with one
-   separator between them. Such a stretch becomes a lattice: each run of a character may
-   be read as the letters it can stand for, once or twice, or as a boundary, and
-   separators may vanish; each reading has a channel cost. Viterbi finds the best path
+2. Stretches that look obfuscated are decoded: letters with a digit or sign that stands
+   for a letter on either side, doubled letters, three single letters or more with any
+   run of other characters between them. Such a stretch becomes a lattice: each run of a
+   character may be read as the letters it can stand for, once or twice, or as a
+   boundary, and separators may vanish (between single letters, all that is no letter or
+   digit); each reading has a channel cost. Viterbi finds the best path
    under trigram model and costs. Everywhere else the lattice has one path, the text.
-3. Features are the whole words of the restored text, and the runs of ``GRAMS``
+3. Features are the whole words of the restored text (and of the stretches it changed, as
+   they were: a plain word with a doubled letter may be read as another), and the runs of ``GRAMS``
    characters at every place inside a word, so that a word in a compound or in unspaced
    script is met as well; a document has a feature or not. The ``FEATURES`` that most
    surely are commoner under label 1 are weighed by logistic regression.
@@ -26,6 +28,7 @@ ignored. An empty table gives an empty result.
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +54,9 @@ SEPARATORS = " .-_*'"
 # channel costs, as log probabilities
 SUBSTITUTED, DOUBLED, VANISHED, SEPARATED, UNREAD, SHORTENED = -1.0, -2.0, -0.5, -1.5, -8.0, -1.0
 
+# single letters with anything but letters and digits between them
+_CHAIN = re.compile(r"(?<![^\W_])[^\W\d_](?:[\W_]+[^\W\d_](?![^\W_])){2,}")
+
 _CODE = np.zeros(256, np.int64)
 for _c in range(26):
     _CODE[97 + _c] = _CODE[65 + _c] = _c + 1
@@ -64,8 +70,6 @@ _SIGN = np.zeros(256, bool)
 _SIGN[[ord(c) for c in LEET]] = True
 _DIGIT = np.zeros(256, bool)
 _DIGIT[48:58] = True
-_SEPARATOR = np.zeros(256, bool)
-_SEPARATOR[[ord(c) for c in SEPARATORS]] = True
 _BREAK = np.zeros(256, bool)
 _BREAK[[0x20, *range(0x09, 0x0E)]] = True
 
@@ -107,20 +111,24 @@ def character_model(docs: DataFrame) -> np.ndarray:
 # --- decoding ----------------------------------------------------------------------
 
 
-def _readings(char: str, run: int) -> list[tuple[str, float]]:
-    """What a run of one character may stand for, with channel costs."""
+def _readings(char: str, run: int, spaced: bool = False, last: bool = False) -> list[tuple[str, float]]:
+    """What a run of one character may stand for, with channel costs.
+
+    ``spaced``: it stands between single letters; ``last``: it ends the stretch.
+    """
     if char.isalpha():
         if run == 1:
             return [(char, 0.0)]
         if run == 2:
             return [(char * 2, 0.0), (char, DOUBLED)]
         return [(char, SHORTENED), (char * 2, SHORTENED)]
-    out = [(" ", UNREAD if char in LEET else SEPARATED)]
+    # an exclamation mark at the end is punctuation first
+    out = [(" ", UNREAD if char in LEET and not (last and char == "!") else SEPARATED)]
     for letter in LEET.get(char, ""):
         out.append((letter, SUBSTITUTED))
         if run > 1:
             out.append((letter * 2, SUBSTITUTED))
-    if char in SEPARATORS:
+    if char in SEPARATORS or spaced:
         out.append(("", VANISHED))
     return out
 
@@ -131,23 +139,35 @@ def _symbol(char: str) -> int:
     return OTHER if char.isalpha() else 0
 
 
-def decode(stretch: str, model: np.ndarray) -> str:
-    """The best reading of an obfuscated stretch, in lower case."""
+@lru_cache(1 << 14)
+def _coded(char: str, run: int, spaced: bool, last: bool) -> list[tuple[str, list[int], float]]:
+    """Readings with their symbols; runs of three and more read alike."""
+    return [(reading, [_symbol(c) for c in reading], cost) for reading, cost in _readings(char, run, spaced, last)]
+
+
+def decode(stretch: str, model: list) -> str:
+    """The best reading of an obfuscated stretch, in lower case; ``model`` as nested lists."""
     paths = {(0, 0): (0.0, "")}
-    runs = [(m[1], len(m[0])) for m in re.finditer(r"(.)\1*", stretch.lower(), re.S)]
-    for char, run in runs:
+    low = stretch.lower()
+    chains = iter([m.span() for m in _CHAIN.finditer(low)])
+    begin, end = next(chains, (len(low), len(low)))
+    for m in re.finditer(r"(.)\1*", low, re.S):
+        char, run = m[1], len(m[0])
+        while m.start() >= end and end < len(low):
+            begin, end = next(chains, (len(low), len(low)))
+        spaced = begin < m.start() < end and not char.isalnum()
+        readings = _coded(char, min(run, 3), spaced, m.end() == len(low))
         nearer: dict[tuple[int, int], tuple[float, str]] = {}
         for (a, b), (score, text) in paths.items():
-            for reading, cost in _readings(char, run):
+            for reading, codes, cost in readings:
                 x, y, total = a, b, score + cost
-                for c in reading:
-                    z = _symbol(c)
-                    total += model[x, y, z]
+                for z in codes:
+                    total += model[x][y][z]
                     x, y = y, z
                 if (x, y) not in nearer or nearer[x, y][0] < total:
                     nearer[x, y] = (total, text + reading)
         paths = nearer
-    return max((score + model[a, b, 0], text) for (a, b), (score, text) in paths.items())[1]
+    return max((score + model[a][b][0], text) for (a, b), (score, text) in paths.items())[1]
 
 
 def suspicious(data: np.ndarray) -> list[tuple[int, int]]:
@@ -157,12 +177,12 @@ def suspicious(data: np.ndarray) -> list[tuple[int, int]]:
         return []
     letter, sign = _LETTER[data], _SIGN[data]
     mark = np.zeros(n, bool)
-    # a sign before a letter, or a digit behind one
+    # a sign or digit on either side of a letter
     mark[:-1] |= sign[:-1] & letter[1:]
-    mark[1:] |= _DIGIT[data[1:]] & letter[:-1]
-    # three equal letters
+    mark[1:] |= (sign[1:] | _DIGIT[data[1:]]) & letter[:-1]
+    # two equal letters
     low = _FOLD[data]
-    mark[2:] |= (low[2:] == low[1:-1]) & (low[1:-1] == low[:-2]) & letter[2:] & (data[2:] < 128)
+    mark[1:] |= (low[1:] == low[:-1]) & letter[1:] & (data[1:] < 128)
     solid = ~_BREAK[data]
     edge = np.diff(np.concatenate([[False], solid, [False]]).astype(np.int8))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
@@ -173,21 +193,17 @@ def suspicious(data: np.ndarray) -> list[tuple[int, int]]:
     has &= letters[ends] - letters[starts] >= 1
     spans = list(zip(starts[has].tolist(), ends[has].tolist(), strict=True))
     if n >= 5:
-        # letter, separator, letter, separator, letter, each letter alone
+        # three letters or more, each alone, with no other letter or digit between them
+        full = letter | _DIGIT[data]
         alone = letter.copy()
-        alone[1:] &= ~letter[:-1]
-        alone[:-1] &= ~letter[1:]
-        between = _SEPARATOR[data]
-        link = alone[:-2] & between[1:-1] & alone[2:]
-        edge = np.diff(np.concatenate([[False, False], link, [False, False]]).astype(np.int8))
-        linked = np.flatnonzero(link)
-        if len(linked) > 1:
-            first = linked[np.concatenate([[True], np.diff(linked) != 2])]
-            last = linked[np.concatenate([np.diff(linked) != 2, [True]])]
-            # chains of even and odd places may interleave only at different letters
-            for a, b in zip(first.tolist(), last.tolist(), strict=True):
-                if b > a:
-                    spans.append((a, b + 3))
+        alone[1:] &= ~full[:-1]
+        alone[:-1] &= ~full[1:]
+        at = np.flatnonzero(alone)
+        linked = np.diff(np.cumsum(full)[at]) == 1
+        edge = np.diff(np.concatenate([[False], linked, [False]]).astype(np.int8))
+        for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist(), strict=True):
+            if b - a > 1:
+                spans.append((int(at[a]), int(at[b]) + 1))
     if not spans:
         return []
     spans.sort()
@@ -204,7 +220,7 @@ class Restorer:
     """Restores texts, remembering decoded stretches up to a bound."""
 
     def __init__(self, model: np.ndarray, remembered: int = 200_000):
-        self.model, self.remembered, self.known = model, remembered, {}
+        self.model, self.remembered, self.known = model.tolist(), remembered, {}
 
     def _decode(self, raw: bytes) -> bytes:
         if len(raw) > 64:
@@ -215,17 +231,23 @@ class Restorer:
             self.known[raw] = decode(raw.decode(errors="replace"), self.model).encode()
         return self.known[raw]
 
-    def texts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Bytes and offsets of the restored texts."""
+    def texts(self, data: np.ndarray, offsets: np.ndarray, given: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes and offsets of the restored texts; ``given``: with the stretches that changed, as they were, behind each."""
         parts, bounds = [], [0]
         for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
             own = data[a:b]
-            at, pieces = 0, []
+            at, pieces, changed = 0, [], []
             for low, high in suspicious(own):
                 pieces.append(own[at:low])
-                pieces.append(np.frombuffer(self._decode(own[low:high].tobytes()), np.uint8))
+                raw = own[low:high].tobytes()
+                restored = self._decode(raw)
+                pieces.append(np.frombuffer(restored, np.uint8))
+                if given and restored != raw.lower():
+                    changed += [b" ", raw]
                 at = high
             pieces.append(own[at:])
+            if changed:
+                pieces.append(np.frombuffer(b"".join(changed), np.uint8))
             parts += pieces
             bounds.append(bounds[-1] + sum(map(len, pieces)))
         return (np.concatenate(parts) if parts else np.empty(0, np.uint8)), np.array(bounds, np.int64)
@@ -317,7 +339,7 @@ def _label_counts(model: np.ndarray):
         for batch in batches:
             label = batch.column("toxic").to_numpy()
             for row, end, data, offsets in text_slices(batch.column("text")):
-                doc, feature = word_features(*restorer.texts(data, offsets))
+                doc, feature = word_features(*restorer.texts(data, offsets, given=True))
                 toxic = label[row:end][doc]
                 kinds, place = np.unique(feature, return_inverse=True)
                 yield pa.record_batch(
@@ -333,7 +355,7 @@ def _label_counts(model: np.ndarray):
 
 def _presence(restorer: Restorer, chosen: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(text, place in ``chosen``) of the chosen features of each text, each once."""
-    doc, word, *kept = _distinct_words(*restorer.texts(data, offsets))
+    doc, word, *kept = _distinct_words(*restorer.texts(data, offsets, given=True))
     # most features fail a look at 16 of their bits
     maybe = np.zeros(1 << 16, bool)
     maybe[chosen & np.uint64(0xFFFF)] = True
