@@ -1,14 +1,17 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
 Texts are compared in lower case, with every run of ASCII characters other than letters
-and digits as one space. An item of m bytes may differ by m // PIECE_BYTES - 1 bytes
-inserted, deleted or replaced (about 5 %). It is split into one piece more than that,
-so a passage within the budget holds one piece unchanged. All pieces are sought at once
-in each whole document; hits of one item on nearby diagonals are one region, and Myers'
-bit-parallel distance over that region verifies it.
-
-Items shorter than ``PIECE_BYTES`` cannot be told from ordinary text and match nothing;
-items below two pieces match exactly. The benchmark goes to the executors in blocks of
+and digits as one space. An item of m bytes may differ by m // SHARE bytes inserted,
+deleted or replaced (5 %), and by WORD bytes (about one word) at least, or m // LEAST
+where that is less. It is split into one piece more than that, so a passage within the
+budget holds one piece unchanged. All pieces are sought at once in each whole document.
+A hit's neighbourhood grows by doubling: of two halves of a part within its budget, one
+is within its share of the budget, so a hit whose part is over it is dropped early. Hits
+of one item on nearby diagonals are one region, and Myers' bit-parallel distance over
+that region verifies it.
+
+Items under ``SHORT`` bytes match exactly, as whole words. An item without letters or
+digits matches nothing. The benchmark goes to the executors in blocks of
 ``BLOCK_BYTES`` at most, one pass over the documents for each block, so its size is
 bounded whatever the table holds. Null texts and null items match nothing. Repeated
 rows are judged alike. Columns other than those named are ignored. Empty tables give
@@ -25,7 +28,8 @@ from pyspark.sql import functions as F
 from upcharts.llm.positions import in_blocks, running_sums
 from upcharts.llm.ship import in_tasks
 
-PIECE_BYTES = 20
+SHARE, WORD, LEAST = 20, 8, 6
+SHORT = 20
 BLOCK_BYTES = 4 << 20
 
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c > 127 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
@@ -37,7 +41,8 @@ def comparable(text: str | None) -> bytes:
 
 
 def budget(size: int) -> int:
-    return max(0, size // PIECE_BYTES - 1)
+    """Bytes by which a passage may differ from an item of ``size`` bytes."""
+    return 0 if size < SHORT else max(size // SHARE, min(WORD, size // LEAST))
 
 
 def pieces_of(item: bytes) -> list[tuple[int, bytes]]:
@@ -47,6 +52,26 @@ def pieces_of(item: bytes) -> list[tuple[int, bytes]]:
     return [(a, item[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
+def leaves_of(ends: list[int]) -> list[tuple | None]:
+    """For each piece, the parts of the item above it, as (start, end, errors, part above).
+
+    A part of n pieces may hold n - 1 errors; the whole item is left out.
+    """
+    out = []
+
+    def split(low: int, high: int, above: tuple | None) -> None:
+        if high - low == 1:
+            out.append(above)
+            return
+        here = above if high - low == len(ends) - 1 else (ends[low], ends[high], high - low - 1, above)
+        middle = (low + high) // 2
+        split(low, middle, here)
+        split(middle, high, here)
+
+    split(0, len(ends) - 1, None)
+    return out
+
+
 def myers(pattern: bytes, text: bytes, anchored: bool = False) -> tuple[int, int]:
     """Least distance of ``pattern`` to a part of ``text``, and where the first such part ends.
 
@@ -85,11 +110,12 @@ class Matcher:
         import ahocorasick
 
         self.items = items
-        places: dict[str, list[tuple[int, int]]] = defaultdict(list)
+        places: dict[str, list[tuple[int, int, tuple | None]]] = defaultdict(list)
         for number, (_, item) in enumerate(items):
-            if len(item) >= PIECE_BYTES:
-                for at, piece in pieces_of(item):
-                    places[piece.decode("latin-1")].append((number, at))
+            if item:
+                pieces = pieces_of(item)
+                for (at, piece), above in zip(pieces, leaves_of([*[a for a, _ in pieces], len(item)]), strict=True):
+                    places[piece.decode("latin-1")].append((number, at, above))
         self.automaton = ahocorasick.Automaton()
         for piece, where in places.items():
             self.automaton.add_word(piece, (len(piece), where))
@@ -97,12 +123,27 @@ class Matcher:
             self.automaton.make_automaton()
         self.empty = not places
 
-    def _regions(self, text: str) -> dict[int, list[tuple[int, int]]]:
+    def _holds(self, text: bytes, number: int, diagonal: int, above: tuple | None) -> bool:
+        """Whether all parts above a hit are within their errors; short items need word bounds."""
+        item = self.items[number][1]
+        if len(item) < SHORT:
+            end = diagonal + len(item)
+            return (diagonal == 0 or text[diagonal - 1] == 32) and (end == len(text) or text[end] == 32)
+        while above:
+            low, high, errors, above = above
+            part = text[max(0, diagonal + low - errors) : max(0, diagonal + high + errors)]
+            if myers(item[low:high], part)[0] > errors:
+                return False
+        return True
+
+    def _regions(self, text: bytes) -> dict[int, list[tuple[int, int]]]:
         """Ranges of diagonals with a piece hit, by item."""
         diagonals = defaultdict(set)
-        for end, (size, where) in self.automaton.iter(text):
-            for number, at in where:
-                diagonals[number].add(end + 1 - size - at)
+        for end, (size, where) in self.automaton.iter(text.decode("latin-1")):
+            for number, at, above in where:
+                diagonal = end + 1 - size - at
+                if diagonal not in diagonals[number] and self._holds(text, number, diagonal, above):
+                    diagonals[number].add(diagonal)
         out = {}
         for number, found in diagonals.items():
             near = 2 * budget(len(self.items[number][1])) + 1
@@ -122,7 +163,7 @@ class Matcher:
             return []
         folded = comparable(text)
         out = []
-        for number, ranges in self._regions(folded.decode("latin-1")).items():
+        for number, ranges in self._regions(folded).items():
             item_id, item = self.items[number]
             allowed = budget(len(item))
             best = None
