@@ -20,8 +20,10 @@ as one). Documents link when 100 * intersection >= 80 * union.
    Pairs within one component need no test: they cannot change the result.
 
 Text is shuffled once, for classes that share a bucket. Null or wordless texts are
-linked with nothing. Rows that share a doc_id count as one node, null doc_ids too.
-Other columns are ignored. An empty table gives an empty result.
+linked with nothing. Classes have numbers of their own; doc_ids come in at the end. In
+the groups, rows that share a doc_id count as one node, null doc_ids too, whatever their
+texts. Where near copies are dropped, rows of one doc_id are linked by their texts only,
+and of equal rows (doc_id and text) all stay or none. Other columns are ignored. An empty table gives an empty result.
 """
 
 from collections.abc import Iterator
@@ -33,7 +35,7 @@ from pyspark.sql import functions as F
 
 from upcharts.llm.components import components
 from upcharts.llm.ship import in_tasks
-from upcharts.llm.text import NULL_ID, mix, run_hashes, signed, text_slices, words_of
+from upcharts.llm.text import NULL_ID, mix, row_key, run_hashes, signed, text_slices, words_of
 from upcharts.session import materialise
 
 SHINGLE = 4
@@ -113,6 +115,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch(
             {
                 "_id": batch.column("_id"),
+                "_check": batch.column("_check"),
                 "n": pa.array(n, pa.int64()),
                 "one": signed(np.array(one, np.uint64)),
                 "two": signed(np.array(two, np.uint64)),
@@ -230,26 +233,27 @@ def _links(pairs: DataFrame, texts: DataFrame, percent: int, shingle: int) -> Da
     return materialise(in_tasks(both, _confirm(percent, shingle), "u long, v long"), "near_links")
 
 
-def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept."""
-    texts = docs.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("_id"), "text")
+_SAME = ["one", "two", "n"]
+
+
+def _linked_classes(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sketches of all rows, classes of equal sets (numbered ``rep``), and links between classes."""
+    texts = docs.select(*row_key(), "text")
     sketches = materialise(
-        in_tasks(texts, _sketches, "_id long, n long, one long, two long, bits array<long>, odd array<long>, bands array<long>"),
+        in_tasks(texts, _sketches, "_id long, _check long, n long, one long, two long, bits array<long>, odd array<long>, bands array<long>"),
         "sketches",
     )
-    same = ["one", "two", "n"]
-    classes = materialise(
-        sketches.where("n > 0").groupBy(*same).agg(F.min("_id").alias("rep"), *[F.first(c).alias(c) for c in ("bits", "odd", "bands")]),
-        "set_classes",
+    classes = sketches.where("n > 0").groupBy(*_SAME).agg(
+        F.min(F.struct("_id", "_check")).alias("first"), *[F.first(c).alias(c) for c in ("bits", "odd", "bands")]
     )
+    # numbers hold once they are stored
+    classes = materialise(classes.withColumn("rep", F.monotonically_increasing_id()), "set_classes")
 
     bands = classes.select("rep", F.explode("bands").alias("band"))
     buckets = bands.groupBy("band").agg(F.count("*").alias("size"), F.min("rep").alias("leader")).where("size > 1")
     members = materialise(bands.join(buckets, "band"), "bucket_members")
-    shared = members.select("rep").distinct()
-    near_texts = materialise(
-        texts.withColumnRenamed("_id", "rep").join(shared, "rep").dropDuplicates(["rep"]), "near_texts"
-    )
+    shared = classes.join(members.select("rep").distinct(), "rep", "left_semi").select("rep", "first._id", "first._check")
+    near_texts = materialise(texts.join(shared, ["_id", "_check"]).select("rep", "text").dropDuplicates(["rep"]), "near_texts")
 
     star = members.where("rep != leader").select(F.col("rep").alias("u"), F.col("leader").alias("v")).distinct()
     star = star.join(_side(classes, "u"), "u").join(_side(classes, "v"), "v").where(_could_link(percent)).select("u", "v")
@@ -274,22 +278,49 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
     across = in_tasks(grouped.select("members"), _across(percent), "u long, v long").distinct()
     more = _links(across, near_texts, percent, SHINGLE)
-    final = components(links.union(more))
+    return sketches, classes, links.union(more)
 
-    labelled = classes.select(*same, "rep").join(final.withColumnRenamed("node", "rep"), "rep", "left")
-    labelled = labelled.select(*same, F.coalesce("component", "rep").alias("component"))
-    result = sketches.select("_id", *same).join(labelled, same, "left")
-    id_of = lambda c: F.when(c != NULL_ID, c)
-    component = F.coalesce("component", "_id")
+
+def _labelled(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """For each class the least row (_id, _check) of its component."""
+    final = components(links).withColumnRenamed("node", "rep")
+    placed = materialise(classes.select(*_SAME, "rep", "first").join(final, "rep", "left"), "placed_classes")
+    placed = placed.withColumn("component", F.coalesce("component", "rep"))
+    # most components are a class alone
+    least = placed.groupBy("component").agg(F.min("first").alias("least"))
+    return placed.join(least, "component").select(*_SAME, "least")
+
+
+def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept."""
+    sketches, classes, links = _linked_classes(docs, percent)
+    rows = sketches.select("_id", *_SAME)
+    # rows of one doc_id are one node
+    sets = rows.where("n > 0").distinct()
+    repeated = sets.groupBy("_id").agg(F.count("*").alias("sets")).where("sets > 1").select("_id")
+    held = materialise(sets.join(repeated, "_id", "left_semi").join(classes.select(*_SAME, "rep"), _SAME).select("_id", "rep"), "repeated_ids")
+    hubs = held.groupBy("_id").agg(F.min("rep").alias("v"))
+    links = links.union(held.join(hubs, "_id").where("rep != v").select(F.col("rep").alias("u"), "v"))
+
+    labelled = materialise(_labelled(classes, links).select(*_SAME, F.col("least._id").alias("component")), "labelled_classes")
+    worded = rows.where("n > 0").join(labelled, _SAME).select("_id", "n", "component")
+    # a wordless row goes with the others of its doc_id
+    wordless = rows.where("n = 0").select("_id", "n")
+    others = worded.join(wordless.select("_id").distinct(), "_id", "left_semi").groupBy("_id").agg(F.min("component").alias("component"))
+    result = worded.union(wordless.join(others, "_id", "left").select("_id", "n", F.coalesce("component", "_id")))
+    id_of = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
     return result.select(
-        id_of(F.col("_id")).alias("doc_id"),
+        id_of("_id").alias("doc_id"),
         F.col("n").alias("n_shingles"),
-        id_of(component).alias("component_id"),
-        (F.col("_id") == component).alias("kept"),
+        id_of("component").alias("component_id"),
+        (F.col("_id") == F.col("component")).alias("kept"),
     )
 
 
 def drop_near_copies(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` that stay: one document of each group."""
-    kept = near_groups(docs, percent).where("kept").select(F.col("doc_id").alias("_keep"))
-    return docs.join(kept.distinct(), F.col("doc_id").eqNullSafe(F.col("_keep")), "left_semi")
+    """The rows of ``docs`` that stay: one document of each group, and all without words."""
+    sketches, classes, links = _linked_classes(docs, percent)
+    worded = _labelled(classes, links).select("least._id", "least._check").distinct()
+    wordless = sketches.where("n = 0").select("_id", "_check")
+    kept = worded.union(wordless).distinct()
+    return docs.select("*", *row_key()).join(kept, ["_id", "_check"], "left_semi").select(*docs.columns)

@@ -201,7 +201,7 @@ def _joined(base: np.ndarray, words, keep: np.ndarray) -> list[bytes]:
     return [raw[a : b - 1] if b > a else b"" for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
 
 
-_PIECE = "seed long, path long, _id long, _check int, start int, edges short"
+_PIECE = "seed long, path long, _id long, _check long, start int, edges short"
 
 
 def repeated_pieces(docs: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -244,7 +244,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, with_text: bool = Fals
     branching = spans.where(F.exists("spans", lambda s: s["apart"]))
     # rows that repeat doc_id and text hold the same pieces, which are compared once
     taken_apart = texts.join(branching, key).select(*key, "text", "spans").dropDuplicates(key)
-    schema = "one long, two long, _id long, _check int, start int, sure boolean"
+    schema = "one long, two long, _id long, _check long, start int, sure boolean"
     windows = materialise(in_tasks(taken_apart, _text_windows(window), schema), "branch_windows")
     twice = windows.groupBy("one", "two").agg(F.count("*").alias("n")).where("n > 1").select("one", "two")
     unsure = windows.where("not sure").drop("sure")

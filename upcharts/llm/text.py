@@ -160,5 +160,5 @@ def row_key(doc_id: str | Column = "doc_id", text: str | Column = "text") -> lis
     text = F.col(text) if isinstance(text, str) else text
     return [
         F.coalesce(doc_id, F.lit(NULL_ID)).alias("_id"),
-        F.hash(F.coalesce(text, F.lit("")), doc_id.isNull()).alias("_check"),
+        F.xxhash64(F.coalesce(text, F.lit("")), doc_id.isNull()).alias("_check"),
     ]
