@@ -40,3 +40,13 @@ def test_near_copies_without_ids_are_dropped(spark):
 
 def test_rows_are_told_apart_by_64_bits(spark):
     assert dict(spark.createDataFrame([(1, "a")], "doc_id long, text string").select(*text.row_key()).dtypes)["_check"] == "bigint"
+
+
+def test_copies_are_dropped_on_shingles_of_five_words(spark):
+    words = [f"w{i}" for i in range(45)]
+    changed = ["changed" if i == 20 else w for i, w in enumerate(words)]
+    # one word of 45: 38 of 46 shingles of four words, 36 of 46 of five
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(changed))], "doc_id long, text string")
+    assert [near_dedup.drop_near_copies(docs, shingle=k).count() for k in (4, 5)] == [1, 2]
+    assert near_dedup.drop_near_copies(docs).count() == 2
+    assert sum(r["kept"] for r in near_dedup.near_groups(docs).collect()) == 1

@@ -1,7 +1,7 @@
 """Near-duplicate groups by b-bit MinHash, confirmed on whole shingle sets.
 
-A document's set holds its distinct 4-word shingles (fewer words: the whole sequence
-as one). Documents link when 100 * intersection >= 80 * union.
+A document's set holds its distinct shingles of ``shingle`` words, 4 in the groups and 5
+where near copies are dropped unless told (fewer words: the whole sequence as one). Documents link when 100 * intersection >= 80 * union.
 
 1. One pass makes a sketch of each set: 128 minima, of which 4 bits each are kept and
    packed in bit planes; 32 band keys of 4 minima; and a bitmap that holds the parity
@@ -38,7 +38,8 @@ from upcharts.llm.ship import in_tasks
 from upcharts.llm.text import NULL_ID, mix, row_key, run_hashes, signed, text_slices, words_of
 from upcharts.session import materialise
 
-SHINGLE = 4
+# words of a shingle: in the groups, and where near copies are dropped
+SHINGLE, STAGE_SHINGLE = 4, 5
 MINIMA, BITS, BANDS = 128, 4, 32
 ROWS = MINIMA // BANDS
 PLACES = 2048
@@ -95,35 +96,38 @@ def _lists(values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * width), flat)
 
 
-def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        n, one, two, minima, odd = [], [], [], [], []
-        for values in shingle_sets(batch.column("text")):
-            n.append(len(values))
-            one.append(np.add.reduce(mix(values), dtype=np.uint64))
-            two.append(np.add.reduce(mix(values ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64))
-            minima.append(_minima(values))
-            odd.append(np.bincount((values & np.uint64(PLACES - 1)).astype(np.int64), minlength=PLACES) & 1)
-        if not n:
-            continue
-        least = np.array(minima, np.uint32)
-        low = (least * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS)
-        planes = [_packed((low >> np.uint32(k)) & np.uint32(1)) for k in range(BITS)]
-        bands = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(n), 1))
-        for k in range(ROWS):
-            bands = mix(bands * np.uint64(0x9E3779B97F4A7C15) + least[:, k::ROWS].astype(np.uint64))
-        yield pa.record_batch(
-            {
-                "_id": batch.column("_id"),
-                "_check": batch.column("_check"),
-                "n": pa.array(n, pa.int64()),
-                "one": signed(np.array(one, np.uint64)),
-                "two": signed(np.array(two, np.uint64)),
-                "bits": _lists(np.concatenate(planes, axis=1)),
-                "odd": _lists(_packed(np.array(odd, np.uint8))),
-                "bands": _lists(bands),
-            }
-        )
+def _sketches(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, one, two, minima, odd = [], [], [], [], []
+            for values in shingle_sets(batch.column("text"), shingle):
+                n.append(len(values))
+                one.append(np.add.reduce(mix(values), dtype=np.uint64))
+                two.append(np.add.reduce(mix(values ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64))
+                minima.append(_minima(values))
+                odd.append(np.bincount((values & np.uint64(PLACES - 1)).astype(np.int64), minlength=PLACES) & 1)
+            if not n:
+                continue
+            least = np.array(minima, np.uint32)
+            low = (least * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS)
+            planes = [_packed((low >> np.uint32(k)) & np.uint32(1)) for k in range(BITS)]
+            bands = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(n), 1))
+            for k in range(ROWS):
+                bands = mix(bands * np.uint64(0x9E3779B97F4A7C15) + least[:, k::ROWS].astype(np.uint64))
+            yield pa.record_batch(
+                {
+                    "_id": batch.column("_id"),
+                    "_check": batch.column("_check"),
+                    "n": pa.array(n, pa.int64()),
+                    "one": signed(np.array(one, np.uint64)),
+                    "two": signed(np.array(two, np.uint64)),
+                    "bits": _lists(np.concatenate(planes, axis=1)),
+                    "odd": _lists(_packed(np.array(odd, np.uint8))),
+                    "bands": _lists(bands),
+                }
+            )
+
+    return run
 
 
 def _estimate(a: str, b: str) -> Column:
@@ -236,11 +240,11 @@ def _links(pairs: DataFrame, texts: DataFrame, percent: int, shingle: int) -> Da
 _SAME = ["one", "two", "n"]
 
 
-def _linked_classes(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _linked_classes(docs: DataFrame, percent: int, shingle: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Sketches of all rows, classes of equal sets (numbered ``rep``), and links between classes."""
     texts = docs.select(*row_key(), "text")
     sketches = materialise(
-        in_tasks(texts, _sketches, "_id long, _check long, n long, one long, two long, bits array<long>, odd array<long>, bands array<long>"),
+        in_tasks(texts, _sketches(shingle), "_id long, _check long, n long, one long, two long, bits array<long>, odd array<long>, bands array<long>"),
         "sketches",
     )
     classes = sketches.where("n > 0").groupBy(*_SAME).agg(
@@ -257,7 +261,7 @@ def _linked_classes(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame
 
     star = members.where("rep != leader").select(F.col("rep").alias("u"), F.col("leader").alias("v")).distinct()
     star = star.join(_side(classes, "u"), "u").join(_side(classes, "v"), "v").where(_could_link(percent)).select("u", "v")
-    links = _links(star, near_texts, percent, SHINGLE)
+    links = _links(star, near_texts, percent, shingle)
     first = materialise(components(links), "star_components")
 
     # the leader's pairs are decided; what is left are the others, where components differ
@@ -277,7 +281,7 @@ def _linked_classes(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame
         F.collect_list(F.struct("rep", "comp", "part", "n", "bits", "odd")).alias("members")
     )
     across = in_tasks(grouped.select("members"), _across(percent), "u long, v long").distinct()
-    more = _links(across, near_texts, percent, SHINGLE)
+    more = _links(across, near_texts, percent, shingle)
     return sketches, classes, links.union(more)
 
 
@@ -291,9 +295,9 @@ def _labelled(classes: DataFrame, links: DataFrame) -> DataFrame:
     return placed.join(least, "component").select(*_SAME, "least")
 
 
-def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def near_groups(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
-    sketches, classes, links = _linked_classes(docs, percent)
+    sketches, classes, links = _linked_classes(docs, percent, shingle)
     rows = sketches.select("_id", *_SAME)
     # rows of one doc_id are one node
     sets = rows.where("n > 0").distinct()
@@ -317,9 +321,9 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
 
 
-def drop_near_copies(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def drop_near_copies(docs: DataFrame, percent: int = PERCENT, shingle: int = STAGE_SHINGLE) -> DataFrame:
     """The rows of ``docs`` that stay: one document of each group, and all without words."""
-    sketches, classes, links = _linked_classes(docs, percent)
+    sketches, classes, links = _linked_classes(docs, percent, shingle)
     worded = _labelled(classes, links).select("least._id", "least._check").distinct()
     wordless = sketches.where("n = 0").select("_id", "_check")
     kept = worded.union(wordless).distinct()

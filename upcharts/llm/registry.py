@@ -72,7 +72,7 @@ def op7_substring_dedup(spark, sf_dir):
 
 @query
 def op8_near_dedup(spark, sf_dir):
-    return near_dedup.near_groups(_documents(spark, sf_dir))
+    return near_dedup.near_groups(_documents(spark, sf_dir), shingle=4)
 
 
 @query
