@@ -11,6 +11,7 @@ WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 # columns with names that operators use inside
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, block int, digest string, path string"
+CLASHING = f"{SCHEMA}, _id long, _check long, _digest string, _gone int, _keep long, rep long, row long"
 
 
 def messy_rows() -> list[tuple]:
@@ -76,9 +77,9 @@ def shingles(text, k=4):
     return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set()
 
 
-def brute_near(rows):
+def brute_near(rows, k=4, percent=80):
     low = -(1 << 63)
-    sets = [(low if d is None else d, shingles(t)) for d, t in rows]
+    sets = [(low if d is None else d, shingles(t, k)) for d, t in rows]
     parent = {d: d for d, _ in sets}
 
     def find(x):
@@ -88,7 +89,7 @@ def brute_near(rows):
 
     for i, (d, a) in enumerate(sets):
         for e, b in sets[:i]:
-            if a and b and 100 * len(a & b) >= 80 * len(a | b):
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
                 x, y = find(d), find(e)
                 parent[max(x, y)] = min(x, y)
     name = lambda x: None if x == low else x

@@ -4,48 +4,38 @@ A document's set holds its distinct shingles of ``shingle`` words, 4 in the grou
 where near copies are dropped unless told (fewer words: the whole sequence as one). Documents link when 100 * intersection >= 80 * union.
 
 1. One pass makes a sketch of each set: 128 minima, of which 4 bits each are kept and
-   packed in bit planes; 32 band keys of 4 minima; and a bitmap that holds the parity
-   of the shingles falling on each of 2,048 places. Documents with equal sets become
+   packed in bit planes, and 32 band keys of 4 minima. Documents with equal sets become
    one class, so copies cost nothing further.
 2. Classes that share a band key are candidates. A pair at similarity 0.8 shares none
    with probability (1 - 0.8^4)^32 = 5e-8.
-3. Each bucket first proposes links to its least class only (a star). Candidates pass
-   two filters: the collision-corrected estimate (matching minima - 1/16) / (15/16),
-   five standard errors below 0.8 at least; and the count of differing bitmap places,
-   which never exceeds the size of the sets' difference, so it loses nothing.
-4. Survivors are confirmed on their texts, and components are formed.
-5. In buckets that still hold several components, the pairs across components are
-   compared on their packed sketches in blocks of bounded size; what passes the
-   filters is confirmed likewise, so no link between different texts is passed over.
-   Pairs within one component need no test: they cannot change the result.
+3. Candidates meet in the groups of ``groups.py``. A pair passes if its collision-corrected
+   estimate (matching minima - 1/16) / (15/16), by bit counts over the packed signatures,
+   is no more than five standard errors below 0.8; then it is confirmed on whole sets.
 
-Text is shuffled once, for classes that share a bucket. Null or wordless texts are
-linked with nothing. Classes have numbers of their own; doc_ids come in at the end. In
+Null or wordless texts are linked with nothing. Classes have numbers of their own; doc_ids come in at the end. In
 the groups, rows that share a doc_id count as one node, null doc_ids too, whatever their
 texts. Where near copies are dropped, rows of one doc_id are linked by their texts only,
-and of equal rows (doc_id and text) all stay or none. Other columns are ignored. An empty table gives an empty result.
+and of equal rows (doc_id and text) all stay or none. Other columns are ignored, whatever
+their names. An empty table gives an empty result.
 """
 
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from upcharts.llm.components import components
+from upcharts.llm.groups import Filter, digest, document_groups, group_links, labelled, set_classes, shingle_sets
 from upcharts.llm.ship import in_tasks
-from upcharts.llm.text import NULL_ID, mix, row_key, run_hashes, signed, text_slices, words_of
+from upcharts.llm.text import mix, row_key, signed
 from upcharts.session import materialise
 
 # words of a shingle: in the groups, and where near copies are dropped
 SHINGLE, STAGE_SHINGLE = 4, 5
 MINIMA, BITS, BANDS = 128, 4, 32
 ROWS = MINIMA // BANDS
-PLACES = 2048
 PERCENT = 80
-# a bucket is compared in blocks of about so many classes
-BLOCK = 512
 
 _random = np.random.default_rng(20261203)
 _A = _random.integers(0, 1 << 32, MINIMA, dtype=np.uint32) | np.uint32(1)
@@ -59,23 +49,6 @@ def lowest_estimate(percent: int = PERCENT) -> float:
     return percent / 100 - 5 * (match * (1 - match) / MINIMA) ** 0.5 / (1 - chance)
 
 
-def shingle_sets(column: pa.Array, shingle: int = SHINGLE) -> Iterator[np.ndarray]:
-    """The sorted distinct shingle hashes of each text."""
-    for _, _, data, offsets in text_slices(column):
-        words = words_of(data, offsets, lower=True)
-        runs = run_hashes(words.hashes, shingle)
-        bounds = words.bounds.tolist()
-        for a, b in zip(bounds[:-1], bounds[1:], strict=True):
-            n = b - a
-            if n >= shingle:
-                yield np.unique(runs[a : b - shingle + 1])
-            elif n:
-                # a seed of their own keeps short sequences apart from shingles
-                yield run_hashes(words.hashes[a:b], n, seed=100 + n)
-            else:
-                yield np.empty(0, np.uint64)
-
-
 def _minima(values: np.ndarray) -> np.ndarray:
     out = np.full(MINIMA, (1 << 32) - 1, np.uint32)
     for at in range(0, len(values), 8192):
@@ -99,15 +72,14 @@ def _lists(values: np.ndarray) -> pa.Array:
 def _sketches(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, one, two, minima, odd = [], [], [], [], []
+            n, digests, minima = [], [], []
             for values in shingle_sets(batch.column("text"), shingle):
                 n.append(len(values))
-                one.append(np.add.reduce(mix(values), dtype=np.uint64))
-                two.append(np.add.reduce(mix(values ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64))
+                digests.append(digest(values))
                 minima.append(_minima(values))
-                odd.append(np.bincount((values & np.uint64(PLACES - 1)).astype(np.int64), minlength=PLACES) & 1)
             if not n:
                 continue
+            sums = np.array(digests, np.uint64)
             least = np.array(minima, np.uint32)
             low = (least * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS)
             planes = [_packed((low >> np.uint32(k)) & np.uint32(1)) for k in range(BITS)]
@@ -119,10 +91,9 @@ def _sketches(shingle: int):
                     "_id": batch.column("_id"),
                     "_check": batch.column("_check"),
                     "n": pa.array(n, pa.int64()),
-                    "one": signed(np.array(one, np.uint64)),
-                    "two": signed(np.array(two, np.uint64)),
+                    "one": signed(np.ascontiguousarray(sums[:, 0])),
+                    "two": signed(np.ascontiguousarray(sums[:, 1])),
                     "bits": _lists(np.concatenate(planes, axis=1)),
-                    "odd": _lists(_packed(np.array(odd, np.uint8))),
                     "bands": _lists(bands),
                 }
             )
@@ -130,201 +101,50 @@ def _sketches(shingle: int):
     return run
 
 
-def _estimate(a: str, b: str) -> Column:
-    """Collision-corrected similarity of two packed signatures."""
-    width = MINIMA // 64
-    a, b = F.col(a), F.col(b)
-    differ = F.lit(0)
-    for w in range(width):
-        word = F.lit(0).cast("long")
-        for plane in range(BITS):
-            i = plane * width + w
-            word = word.bitwiseOR(a[i].bitwiseXOR(b[i]))
-        differ = differ + F.bit_count(word)
-    chance = 1 / (1 << BITS)
-    return ((F.lit(MINIMA) - differ) / MINIMA - chance) / (1 - chance)
-
-
-def _differing_places(a: str, b: str) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
-
-
-def _could_link(percent: int) -> Column:
-    """Of rows with n, bits and odd of both sides: whether a link is still possible."""
-    total = F.col("n_u") + F.col("n_v")
-    # intersection >= p/(100+p) of the total, so the difference is at most the rest
-    return (
-        (F.least("n_u", "n_v") * 100 >= F.greatest("n_u", "n_v") * percent)
-        & (_estimate("bits_u", "bits_v") >= lowest_estimate(percent))
-        & (_differing_places("odd_u", "odd_v") * (100 + percent) <= total * (100 - percent))
-    )
-
-
-def _side(classes: DataFrame, side: str) -> DataFrame:
-    return classes.select(F.col("rep").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in ("n", "bits", "odd")])
-
-
-def _across(percent: int):
-    """Pairs of different components in a block of one bucket that could link."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            us, vs = [], []
-            for group in range(batch.num_rows):
-                rows = batch.column("members").slice(group, 1).flatten()
-                u, v = _pairs_across(rows, percent)
-                us.append(u)
-                vs.append(v)
-            yield pa.record_batch({"u": pa.array(np.concatenate(us) if us else [], pa.int64()), "v": pa.array(np.concatenate(vs) if vs else [], pa.int64())})
-
-    return run
-
-
-def _pairs_across(rows: pa.StructArray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    rep = rows.field("rep").to_numpy()
-    comp = rows.field("comp").to_numpy()
-    part = rows.field("part").to_numpy()
-    n = rows.field("n").to_numpy()
-    bits = rows.field("bits").flatten().to_numpy().view(np.uint64).reshape(len(rep), -1)
-    odd = rows.field("odd").flatten().to_numpy().view(np.uint64).reshape(len(rep), -1)
-    width, chance = MINIMA // 64, 1 / (1 << BITS)
-    us, vs = [], []
-    # rows outside the largest component, against all rows
-    names, counts = np.unique(comp, return_counts=True)
-    outside = np.flatnonzero(comp != names[counts.argmax()])
-    two_parts = part.min() != part.max()
-    for i in outside:
-        other = comp != comp[i]
-        # between two blocks only pairs across them: others belong to another group
-        if two_parts:
-            other &= part != part[i]
-        j = np.flatnonzero(other & (100 * np.minimum(n, n[i]) >= percent * np.maximum(n, n[i])))
-        if not len(j):
-            continue
-        differ = np.bitwise_count(odd[j] ^ odd[i]).sum(axis=1, dtype=np.int64)
-        j = j[differ * (100 + percent) <= (n[j] + n[i]) * (100 - percent)]
-        if not len(j):
-            continue
-        word = (bits[j] ^ bits[i]).reshape(len(j), BITS, width)
-        missed = np.bitwise_count(np.bitwise_or.reduce(word, axis=1)).sum(axis=1, dtype=np.int64)
-        close = ((MINIMA - missed) / MINIMA - chance) / (1 - chance) >= lowest_estimate(percent)
-        j = j[close]
-        us.append(np.maximum(rep[j], rep[i]))
-        vs.append(np.minimum(rep[j], rep[i]))
-    empty = np.empty(0, np.int64)
-    return (np.concatenate(us), np.concatenate(vs)) if us else (empty, empty)
+def _by_estimate(percent: int):
+    """Of a group: pairs whose collision-corrected estimate leaves a link possible."""
 
+    def filter_of(members: pa.StructArray, sets: list[np.ndarray], kind: int) -> Filter:
+        bits = members.field("bits").flatten().to_numpy().view(np.uint64).reshape(len(sets), BITS, MINIMA // 64)
+        chance, lowest = 1 / (1 << BITS), lowest_estimate(percent)
 
-def _confirm(percent: int, shingle: int):
-    """Keep pairs whose whole shingle sets reach the similarity."""
+        def may_link(i: int, j: np.ndarray) -> np.ndarray:
+            differ = np.bitwise_or.reduce(bits[j] ^ bits[i], axis=1)
+            missed = np.bitwise_count(differ).sum(axis=1, dtype=np.int64)
+            return j[((MINIMA - missed) / MINIMA - chance) / (1 - chance) >= lowest]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pairs = zip(shingle_sets(batch.column("text_u"), shingle), shingle_sets(batch.column("text_v"), shingle), strict=True)
-            keep = []
-            for a, b in pairs:
-                both = len(np.intersect1d(a, b, assume_unique=True))
-                keep.append(100 * both >= percent * (len(a) + len(b) - both))
-            yield pa.record_batch({c: batch.column(c) for c in ("u", "v")}).filter(pa.array(keep, pa.bool_()))
-
-    return run
+        return may_link
 
-
-def _links(pairs: DataFrame, texts: DataFrame, percent: int, shingle: int) -> DataFrame:
-    u = texts.select(F.col("rep").alias("u"), F.col("text").alias("text_u"))
-    v = texts.select(F.col("rep").alias("v"), F.col("text").alias("text_v"))
-    both = pairs.join(u, "u").join(v, "v").select("u", "v", "text_u", "text_v")
-    return materialise(in_tasks(both, _confirm(percent, shingle), "u long, v long"), "near_links")
-
-
-_SAME = ["one", "two", "n"]
+    return filter_of
 
 
 def _linked_classes(docs: DataFrame, percent: int, shingle: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Sketches of all rows, classes of equal sets (numbered ``rep``), and links between classes."""
     texts = docs.select(*row_key(), "text")
     sketches = materialise(
-        in_tasks(texts, _sketches(shingle), "_id long, _check long, n long, one long, two long, bits array<long>, odd array<long>, bands array<long>"),
+        in_tasks(texts, _sketches(shingle), "_id long, _check long, n long, one long, two long, bits array<long>, bands array<long>"),
         "sketches",
     )
-    classes = sketches.where("n > 0").groupBy(*_SAME).agg(
-        F.min(F.struct("_id", "_check")).alias("first"), *[F.first(c).alias(c) for c in ("bits", "odd", "bands")]
-    )
-    # numbers hold once they are stored
-    classes = materialise(classes.withColumn("rep", F.monotonically_increasing_id()), "set_classes")
-
-    bands = classes.select("rep", F.explode("bands").alias("band"))
-    buckets = bands.groupBy("band").agg(F.count("*").alias("size"), F.min("rep").alias("leader")).where("size > 1")
-    members = materialise(bands.join(buckets, "band"), "bucket_members")
-    shared = classes.join(members.select("rep").distinct(), "rep", "left_semi").select("rep", "first._id", "first._check")
-    near_texts = materialise(texts.join(shared, ["_id", "_check"]).select("rep", "text").dropDuplicates(["rep"]), "near_texts")
-
-    star = members.where("rep != leader").select(F.col("rep").alias("u"), F.col("leader").alias("v")).distinct()
-    star = star.join(_side(classes, "u"), "u").join(_side(classes, "v"), "v").where(_could_link(percent)).select("u", "v")
-    links = _links(star, near_texts, percent, shingle)
-    first = materialise(components(links), "star_components")
-
-    # the leader's pairs are decided; what is left are the others, where components differ
-    rest = members.where("size > 2 and rep != leader").join(first.withColumnRenamed("node", "rep"), "rep", "left")
-    rest = rest.select("band", "size", "rep", F.coalesce("component", "rep").alias("comp"))
-    mixed = rest.groupBy("band").agg((F.min("comp") != F.max("comp")).alias("mixed")).where("mixed").select("band")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    part = F.pmod(F.hash("rep"), F.col("blocks"))
-    dealt = (
-        rest.join(mixed, "band")
-        .withColumn("blocks", blocks)
-        .withColumn("part", part)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .join(classes.select("rep", "n", "bits", "odd"), "rep")
+    classes = set_classes(sketches, ["bits", "bands"])
+    members = classes.select(F.lit(0).alias("kind"), "rep", F.explode("bands").alias("bucket"))
+    links = group_links(
+        members, classes.select("rep", "n", "first._id", "first._check", "bits"), texts, shingle, percent, _by_estimate(percent)
     )
-    grouped = dealt.groupBy("band", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")).agg(
-        F.collect_list(F.struct("rep", "comp", "part", "n", "bits", "odd")).alias("members")
-    )
-    across = in_tasks(grouped.select("members"), _across(percent), "u long, v long").distinct()
-    more = _links(across, near_texts, percent, shingle)
-    return sketches, classes, links.union(more)
-
-
-def _labelled(classes: DataFrame, links: DataFrame) -> DataFrame:
-    """For each class the least row (_id, _check) of its component."""
-    final = components(links).withColumnRenamed("node", "rep")
-    placed = materialise(classes.select(*_SAME, "rep", "first").join(final, "rep", "left"), "placed_classes")
-    placed = placed.withColumn("component", F.coalesce("component", "rep"))
-    # most components are a class alone
-    least = placed.groupBy("component").agg(F.min("first").alias("least"))
-    return placed.join(least, "component").select(*_SAME, "least")
+    return sketches, classes, links
 
 
 def near_groups(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
-    sketches, classes, links = _linked_classes(docs, percent, shingle)
-    rows = sketches.select("_id", *_SAME)
-    # rows of one doc_id are one node
-    sets = rows.where("n > 0").distinct()
-    repeated = sets.groupBy("_id").agg(F.count("*").alias("sets")).where("sets > 1").select("_id")
-    held = materialise(sets.join(repeated, "_id", "left_semi").join(classes.select(*_SAME, "rep"), _SAME).select("_id", "rep"), "repeated_ids")
-    hubs = held.groupBy("_id").agg(F.min("rep").alias("v"))
-    links = links.union(held.join(hubs, "_id").where("rep != v").select(F.col("rep").alias("u"), "v"))
-
-    labelled = materialise(_labelled(classes, links).select(*_SAME, F.col("least._id").alias("component")), "labelled_classes")
-    worded = rows.where("n > 0").join(labelled, _SAME).select("_id", "n", "component")
-    # a wordless row goes with the others of its doc_id
-    wordless = rows.where("n = 0").select("_id", "n")
-    others = worded.join(wordless.select("_id").distinct(), "_id", "left_semi").groupBy("_id").agg(F.min("component").alias("component"))
-    result = worded.union(wordless.join(others, "_id", "left").select("_id", "n", F.coalesce("component", "_id")))
-    id_of = lambda c: F.when(F.col(c) != NULL_ID, F.col(c))
-    return result.select(
-        id_of("_id").alias("doc_id"),
-        F.col("n").alias("n_shingles"),
-        id_of("component").alias("component_id"),
-        (F.col("_id") == F.col("component")).alias("kept"),
-    )
+    grouped = document_groups(*_linked_classes(docs, percent, shingle))
+    return grouped.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def drop_near_copies(docs: DataFrame, percent: int = PERCENT, shingle: int = STAGE_SHINGLE) -> DataFrame:
     """The rows of ``docs`` that stay: one document of each group, and all without words."""
     sketches, classes, links = _linked_classes(docs, percent, shingle)
-    worded = _labelled(classes, links).select("least._id", "least._check").distinct()
+    worded = labelled(classes, links).select("least._id", "least._check").distinct()
     wordless = sketches.where("n = 0").select("_id", "_check")
     kept = worded.union(wordless).distinct()
-    return docs.select("*", *row_key()).join(kept, ["_id", "_check"], "left_semi").select(*docs.columns)
+    # the rows stand in a struct of their own, so that none of their columns can clash
+    rows = docs.select(F.struct("*").alias("row"), *row_key())
+    return rows.join(kept, ["_id", "_check"], "left_semi").select("row.*")

@@ -11,6 +11,7 @@ from upcharts.llm import (
     line_dedup,
     near_dedup,
     packing,
+    parity_join,
     sharding,
     substring_dedup,
     token_files,
@@ -86,6 +87,11 @@ def op10_packing(spark, sf_dir):
     return packing.pack_documents(_documents(spark, sf_dir))
 
 
+@query
+def op12_ngram_join(spark, sf_dir):
+    return parity_join.ngram_join(_documents(spark, sf_dir))
+
+
 ORACLE: dict[str, str] = {
     "op1_line_dedup": """
         WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS body FROM documents),
