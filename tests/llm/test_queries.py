@@ -12,7 +12,7 @@ from upcharts.llm.registry import ORACLE, QUERIES
 def test_all_are_registered():
     names = __spark_entry__.queries()
     assert set(QUERIES) < set(names) and "pipeline" in names
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11)) | {12}
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

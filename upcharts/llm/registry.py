@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from upcharts.llm import (
+    conversations,
     decontamination,
     exact_dedup,
     language_id,
@@ -13,6 +14,7 @@ from upcharts.llm import (
     packing,
     parity_join,
     sharding,
+    spelling,
     substring_dedup,
     token_files,
     toxicity,
@@ -87,11 +89,22 @@ def op10_packing(spark, sf_dir):
     return packing.pack_documents(_documents(spark, sf_dir))
 
 
+@query
+def op11_conversation_repair(spark, sf_dir):
+    return conversations.repair_report(spark.read.parquet(table_path(sf_dir, "conversations")))
+
+
 @query
 def op12_ngram_join(spark, sf_dir):
     return parity_join.ngram_join(_documents(spark, sf_dir))
 
 
+@query
+def op13_spelling_variants(spark, sf_dir):
+    found = spelling.misspelt(spelling.runs(_documents(spark, sf_dir)))
+    return spelling.spelling_variants(spelling.word_counts(found))
+
+
 ORACLE: dict[str, str] = {
     "op1_line_dedup": """
         WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS body FROM documents),
