@@ -52,7 +52,7 @@ class _Available:
         # pairs: a length and its complement, as near to each other as there are
         other = gap - there
         low = there[(other <= there) & (self.counts[other] > 0)]
-        for a in low[:8].tolist():
+        for a in low.tolist():
             if self.has([*used, a, gap - a]):
                 return [a, gap - a]
         # triples: the pair sums that the gap less a third length asks for, longest thirds first
@@ -62,7 +62,7 @@ class _Available:
             rest = gap - third - there[None, :]
             fits = (there[None, :] >= third) & (rest >= there[None, :])
             fits &= self.counts[np.maximum(rest, 0)] > 0
-            for i, j in np.argwhere(fits)[-8:][::-1].tolist():
+            for i, j in np.argwhere(fits)[::-1].tolist():
                 found = [int(rest[i, j]), int(there[j]), int(third[i, 0])]
                 if self.has(used + found):
                     return found
