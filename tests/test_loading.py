@@ -12,7 +12,7 @@ from upcharts.operators import quality
 from upcharts.schemas import MANIFEST
 from upcharts.session import fresh_path, remove_path
 from upcharts.sources import history as loads
-from upcharts.sources import models, sales, snapshots, weeks
+from upcharts.sources import models, sales, snapshots, table, weeks
 from upcharts.streaming.loads import load_batch, load_stream, staged_stream
 
 
@@ -97,7 +97,7 @@ def test_ndjson_keeps_null_keys(spark, make_history, tmp_path):
 def test_week_from_path(spark, make_history):
     path = fresh_path(spark, "t_2001-01-01")
     loads.write_weeks(make_history([(0, 1, "a"), (1, 1, "b")]), path)
-    files = loads.staged_files(spark, f"{path}/*/*.parquet")
+    files = loads.staged_files(spark, f"{path}/load=*/*/*.parquet")
     assert rows(files.select("chart_date")) == [(week(0),), (week(1),)]
 
 
@@ -139,16 +139,94 @@ def test_stream_and_batch_share_a_table(spark, make_history):
     assert rows(loads.read_history(spark, target).select("title")) == [("a",), ("b2",), ("c",)]
 
 
-def test_interrupted_batch_is_loaded_once(spark, make_history):
-    target, marks = fresh_path(spark, "i_target"), fresh_path(spark, "i_marks")
-    loads.append_history(make_history([(0, 1, "a")]), target)
+class Stopped(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", ["stage", "_stored_rows", "write_version"])
+@pytest.mark.parametrize("after", [False, True])
+@pytest.mark.parametrize("replace", [False, True])
+def test_a_load_that_breaks_off_anywhere_loses_nothing(spark, make_history, monkeypatch, step, after, replace):
+    target = fresh_path(spark, "i_target")
+    loads.append_history(make_history([(0, 1, "a"), (2, 1, "z")]), target)
     batch = make_history([(0, 2, "b"), (1, 1, "c")])
-    load_batch(batch, target, marks, "s-0")
-    # as if the end had never been marked
-    remove_path(spark, f"{marks}/done")
+
+    def load():
+        if replace:
+            loads.write_weeks(batch, target, load="s-0")
+        else:
+            load_batch(batch, target, "s-0")
+
+    real = getattr(table, step)
+
+    def broken(*args):
+        if after:
+            real(*args)
+        raise Stopped
+
+    monkeypatch.setattr(table, step, broken)
+    with pytest.raises(Stopped):
+        load()
+    monkeypatch.setattr(table, step, real)
+    early = [("b",), ("c",), ("z",)] if replace else [("a",), ("b",), ("c",), ("z",)]
+    published = step == "write_version" and after
+    assert rows(loads.read_history(spark, target).select("title")) == (early if published else [("a",), ("z",)])
+    for _ in range(2):
+        load()
+    assert rows(loads.read_history(spark, target).select("title")) == early
+
+
+def test_a_version_that_was_not_completed_does_not_count(spark, make_history):
+    target = fresh_path(spark, "v_target")
+    loads.append_history(make_history([(0, 1, "a")]), target)
+    # the files of the next version are there, the mark of their end is not
+    table.write_version(spark.createDataFrame([("x", "", 0, False)], table.LIVE), f"{target}/_live")
+    remove_path(spark, f"{target}/_live/00000001/_SUCCESS")
+    assert rows(loads.read_history(spark, target).select("title")) == [("a",)]
+    loads.append_history(make_history([(1, 1, "b")]), target)
+    assert rows(loads.read_history(spark, target).select("title")) == [("a",), ("b",)]
+
+
+def test_an_applied_load_stays_applied_when_its_weeks_are_replaced(spark, make_history):
+    target = fresh_path(spark, "r_target")
+    load_batch(make_history([(0, 1, "a")]), target, "s-0")
+    loads.write_weeks(make_history([(0, 1, "b")]), target)
+    load_batch(make_history([(0, 1, "a")]), target, "s-0")
+    assert rows(loads.read_history(spark, target).select("title")) == [("b",)]
+
+
+def test_readers_see_whole_weeks_before_and_after_a_replacement(spark, make_history):
+    target = fresh_path(spark, "s_target")
+    loads.write_weeks(make_history([(0, 1, "a"), (0, 2, "b"), (1, 1, "c")]), target)
+    before = loads.read_history(spark, target)
+    loads.write_weeks(make_history([(0, 1, "new")]), target)
+    assert rows(before.select("title")) == [("a",), ("b",), ("c",)]
+    assert rows(loads.read_history(spark, target).select("title")) == [("c",), ("new",)]
+    assert len(table.remove_dead(spark, target)) == 1
+    assert rows(loads.read_history(spark, target).select("title")) == [("c",), ("new",)]
+
+
+def test_counts_of_a_load_come_from_its_write(spark, make_history):
+    target = fresh_path(spark, "c_target")
+    h = make_history([(0, 1, "a"), (0, 2, "b"), (1, 1, "c")])
+    written = loads.append_history(h, target, load="l")
+    assert (written.rows, written.first_week, written.last_week, written.weeks) == (3, week(0), week(1), 2)
+    audit = loads.written_audit(spark, target, "l")
+    assert {tuple(r) for r in audit.collect()} == {tuple(r) for r in loads.load_audit(h).collect()}
+    assert "chart_date=" not in audit._jdf.queryExecution().executedPlan().toString()
+    assert loads.append_history(h.limit(0), target, load="none").rows == 0
+    assert loads.append_history(h, target, load="none") is None
+
+
+def test_rows_that_break_rules_are_kept_out_with_their_reasons(spark, make_history):
+    target, kept_out = fresh_path(spark, "g_target"), fresh_path(spark, "g_quarantine")
+    h = make_history([(0, 1, "a"), (0, 2, "b"), (0, 2, "c"), (1, 2, None), (1, 3, "d")])
     for _ in range(2):
-        load_batch(batch, target, marks, "s-0")
-    assert rows(loads.read_history(spark, target).select("title")) == [("a",), ("b",), ("c",)]
+        loads.load_gated(h, target, kept_out, "l")
+    assert rows(loads.read_history(spark, target).select("title")) == [("a",), ("d",)]
+    got = table.read_quarantine(spark, kept_out).select("title", F.array_join("reasons", ";"), "load")
+    twice = "chart_date, rank is not unique"
+    assert rows(got) == [("b", twice, "l"), ("c", twice, "l"), (None, "title is null", "l")]
 
 
 def test_manifest_is_stored_and_advances_after_the_load(spark, make_history):

@@ -33,6 +33,10 @@ SINKS = {
     "stream_then_append",
     "manifest_roundtrip",
     "model_table",
+    "load_audit_written",
+    "week_replacement",
+    "gated_load",
+    "quarantine",
 }
 
 

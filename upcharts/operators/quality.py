@@ -26,3 +26,19 @@ def not_null_counts(df: DataFrame, *columns: str) -> DataFrame:
     """Violations per column in one scan: column_name, n_records."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
     return counts.unpivot([], list(columns), "column_name", "n_records")
+
+
+def with_reasons(df: DataFrame, unique: list[tuple[str, ...]] = (), required: list[str] = ()) -> DataFrame:
+    """``df`` with ``reasons``: which rules each row breaks; empty for a good row.
+
+    All rows of a repeated key break the rule, since nothing tells which of them is right.
+    Keys with a null are left to ``required``.
+    """
+    broken = [F.when(F.col(c).isNull(), F.lit(f"{c} is null")) for c in required]
+    for number, key in enumerate(unique):
+        flag = f"_repeated_{number}"
+        repeated = unique_violations(df, *key).select(*key, F.lit(True).alias(flag))
+        df = df.join(repeated, list(key), "left")
+        broken.append(F.when(F.col(flag), F.lit(f"{', '.join(key)} is not unique")))
+    rows = [c for c in df.columns if not c.startswith("_repeated_")]
+    return df.select(*rows, F.array_compact(F.array(*broken)).alias("reasons"))

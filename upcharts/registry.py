@@ -16,7 +16,7 @@ from upcharts.plans.warehouse import warehouse
 from upcharts.schemas import ARTIST_METADATA
 from upcharts.session import fresh_path, table_path
 from upcharts.sources import history as loads
-from upcharts.sources import models, sales, snapshots, weeks
+from upcharts.sources import models, sales, snapshots, table, weeks
 from upcharts.streaming.loads import load_stream, staged_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -123,7 +123,7 @@ def staged_files(spark, sf_dir):
     """Weeks told from the paths of staged files."""
     path = fresh_path(spark, "staged_paths")
     loads.write_weeks(warehouse(spark, sf_dir).history, path)
-    return loads.staged_files(spark, f"{path}/*/*.parquet").select("chart_date").distinct()
+    return loads.staged_files(spark, f"{path}/load=*/*/*.parquet").select("chart_date").distinct()
 
 
 @query
@@ -222,6 +222,58 @@ def stream_load(spark, sf_dir):
     return _joined(loads.read_history(spark, target), "genre_tags")
 
 
+@query
+def load_audit_written(spark, sf_dir):
+    """The audit of a load, from the counts taken while it was written."""
+    history = warehouse(spark, sf_dir).history
+    path = fresh_path(spark, "audited")
+    loads.append_history(loads.pending_rows(history, _manifest(history)), path, load="audited")
+    return loads.written_audit(spark, path, "audited")
+
+
+@query
+def week_replacement(spark, sf_dir):
+    """A reader that began before weeks were replaced and one after it: both see whole weeks."""
+    history = warehouse(spark, sf_dir).history
+    path = fresh_path(spark, "replaced")
+    loads.write_weeks(history, path)
+    before = loads.read_history(spark, path)
+    early = history.where(F.col("chart_date") < LOADED_BEFORE)
+    loads.write_weeks(early.withColumn("rank", F.col("rank") + 1000), path)
+    counts = [F.count("*").alias("rows"), F.sum("rank").alias("ranks")]
+    seen = [df.groupBy("chart_date").agg(*counts).withColumn("reader", F.lit(name)) for name, df in (("before", before), ("after", loads.read_history(spark, path)))]
+    return seen[0].union(seen[1])
+
+
+def _with_faults(history: DataFrame) -> DataFrame:
+    """History rows of which some stand twice at a rank and some lack a title."""
+    again = history.where(F.col("rank") % 50 == 7).withColumn("title", F.concat("title", F.lit(" (again)")))
+    title = F.when(F.col("rank") % 73 != 5, F.col("title"))
+    return history.withColumn("title", title).union(again)
+
+
+def _gated(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    path, kept_out = fresh_path(spark, "gated_history"), fresh_path(spark, "quarantine")
+    # the second try of the load changes nothing
+    for _ in range(2):
+        loads.load_gated(_with_faults(warehouse(spark, sf_dir).history), path, kept_out, "gated")
+    return path, kept_out
+
+
+@query
+def gated_load(spark, sf_dir):
+    return _joined(loads.read_history(spark, _gated(spark, sf_dir)[0]), "genre_tags")
+
+
+@query
+def quarantine(spark, sf_dir):
+    rows = table.read_quarantine(spark, _gated(spark, sf_dir)[1])
+    return rows.select("load", "chart_date", "rank", "title", "artist", F.array_join("reasons", "; ").alias("reasons"))
+
+
+on_history("dq_unique_faulty_history", lambda h: quality.unique_violations(_with_faults(h), "chart_date", "rank"))
+
+
 # --- models --------------------------------------------------------------------
 
 

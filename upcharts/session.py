@@ -64,6 +64,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder; none if there is no such folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in system.listStatus(target)] if system.exists(target) else []
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder that this package wrote."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

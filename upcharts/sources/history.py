@@ -3,8 +3,11 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from upcharts.operators import quality
 from upcharts.schemas import CHART_HISTORY, MANIFEST
-from upcharts.session import materialise, path_exists
+from upcharts.session import materialise
+from upcharts.sources import table
+from upcharts.sources.versions import read_version, write_version
 
 
 def conform(df: DataFrame, keep_new: bool = False) -> DataFrame:
@@ -15,26 +18,37 @@ def conform(df: DataFrame, keep_new: bool = False) -> DataFrame:
 
 
 def read_history(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
-    """The history table; ``merge_schema`` also shows columns that later loads added."""
+    """The history table; ``merge_schema`` also shows columns that later loads added.
+
+    A folder that was written elsewhere, without a list of loads, is read as it is.
+    """
+    if table.is_versioned(spark, path):
+        if merge_schema:
+            return conform(table.read_live(spark, path), keep_new=True)
+        return conform(table.read_live(spark, path, CHART_HISTORY))
     if merge_schema:
         return conform(spark.read.option("mergeSchema", True).parquet(path), keep_new=True)
     return conform(spark.read.schema(CHART_HISTORY).parquet(path))
 
 
-def _weekly_writer(df: DataFrame):
-    # rebalance gathers a week into few files, and AQE splits a week that is
-    # larger than the advisory partition size instead of giving it to one task
-    return df.hint("rebalance", "chart_date").write.partitionBy("chart_date")
+def write_weeks(df: DataFrame, path: str, load: str | None = None) -> table.Written | None:
+    """Write each week present in ``df``, replacing those weeks only; readers see the old or the new ones whole."""
+    return table.write_load(df, path, load, replace=True)
+
 
+def append_history(df: DataFrame, path: str, allow_new: bool = False, load: str | None = None) -> table.Written | None:
+    """Append rows with the history schema; ``allow_new`` lets them bring extra columns.
 
-def write_weeks(df: DataFrame, path: str) -> None:
-    """Write each week present in ``df``, replacing those weeks only."""
-    _weekly_writer(df).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+    With a ``load`` id, the rows come in once, however often they are appended.
+    """
+    return table.write_load(conform(df, keep_new=allow_new), path, load)
 
 
-def append_history(df: DataFrame, path: str, allow_new: bool = False) -> None:
-    """Append rows with the history schema; ``allow_new`` lets them bring extra columns."""
-    _weekly_writer(conform(df, keep_new=allow_new)).mode("append").parquet(path)
+def load_gated(df: DataFrame, path: str, quarantine: str, load: str) -> table.Written | None:
+    """Append the rows that keep the history's rules; the others go to ``quarantine`` with their reasons."""
+    marked = quality.with_reasons(conform(df), unique=[("chart_date", "rank")], required=["chart_date", "rank", "title", "artist"])
+    # two writes read the verdicts
+    return table.write_gated(materialise(marked, "gated"), "reasons", path, quarantine, load)
 
 
 def export_ndjson(df: DataFrame, path: str) -> None:
@@ -91,18 +105,12 @@ def update_manifest(manifest: DataFrame, loaded: DataFrame) -> DataFrame:
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """The stored manifest; a table that does not exist yet lists no week."""
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], MANIFEST)
-    return spark.read.schema(MANIFEST).parquet(path)
+    return read_version(spark, path, MANIFEST)
 
 
 def write_manifest(manifest: DataFrame, path: str) -> None:
-    """Store the manifest, sorted, in place of the earlier one.
-
-    The rows are written elsewhere first, as they may come from the table itself.
-    """
-    kept = materialise(manifest.select("chart_date").distinct(), "manifest")
-    kept.orderBy("chart_date").coalesce(1).write.mode("overwrite").parquet(path)
+    """Store the manifest, sorted, as a new version beside the earlier ones."""
+    write_version(manifest.select("chart_date").distinct().orderBy("chart_date"), path)
 
 
 def load_plan(pending: DataFrame, source: str, target: str) -> DataFrame:
@@ -124,10 +132,17 @@ def load_plan(pending: DataFrame, source: str, target: str) -> DataFrame:
 
 def load_audit(loaded: DataFrame) -> DataFrame:
     """Rows per week, plus a total row (NULL week) with the week count."""
-    weekly = loaded.groupBy("chart_date").agg(F.count("*").alias("rows"))
-    return weekly.rollup("chart_date").agg(
-        F.count("*").alias("weeks"), F.sum("rows").alias("rows")
-    )
+    return load_audit_of(loaded.groupBy("chart_date").agg(F.count("*").alias("rows")))
+
+
+def load_audit_of(weekly: DataFrame) -> DataFrame:
+    """The audit of weeks already counted (chart_date, rows)."""
+    return weekly.rollup("chart_date").agg(F.count("*").alias("weeks"), F.sum("rows").alias("rows"))
+
+
+def written_audit(spark: SparkSession, path: str, load: str) -> DataFrame:
+    """``load_audit`` of a load, from the counts taken as it was written; no row is read again."""
+    return load_audit_of(table.load_counts(spark, path, load))
 
 
 def load_pending(staged: DataFrame, manifest: DataFrame, path: str, approved: bool = False) -> DataFrame:

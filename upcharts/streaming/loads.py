@@ -1,8 +1,9 @@
 """Incremental load as a stream: each staged file enters the history exactly once.
 
 Micro-batches are appended by the same writer as batch loads, so one table serves
-both. A batch marks its start and its end beside the stream's checkpoint. A batch that
-began but did not end is taken out of the weeks it touched before it is loaded again.
+both. A batch is a load with an id of its own: until its one committing write it is
+invisible, and once listed it is not loaded again. A batch that breaks off anywhere leaves
+the rows of all other loads alone and is simply repeated.
 """
 
 import hashlib
@@ -10,10 +11,8 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StringType, StructField, StructType
 
 from upcharts.schemas import CHART_HISTORY
-from upcharts.session import materialise, path_exists, remove_path
 from upcharts.sources.history import append_history, conform
 
 BYTES_PER_BATCH = 64 << 30
@@ -36,7 +35,7 @@ def load_stream(staged: DataFrame, path: str, checkpoint: str) -> StreamingQuery
     stream = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
 
     def load(batch: DataFrame, number: int) -> None:
-        load_batch(batch, path, f"{checkpoint}/loads/{number}", f"{stream}-{number}")
+        load_batch(batch, path, f"s{stream}-{number}")
 
     return (
         conform(staged)
@@ -47,30 +46,6 @@ def load_stream(staged: DataFrame, path: str, checkpoint: str) -> StreamingQuery
     )
 
 
-def load_batch(batch: DataFrame, path: str, marks: str, load_id: str) -> None:
+def load_batch(batch: DataFrame, path: str, load_id: str) -> None:
     """Append ``batch`` to the history once, however often it is called."""
-    spark = batch.sparkSession
-    if path_exists(spark, f"{marks}/done"):
-        return
-    mark = spark.createDataFrame([(load_id,)], "load_id string")
-    if path_exists(spark, f"{marks}/begun"):
-        _take_out(spark, path, load_id)
-    else:
-        mark.write.parquet(f"{marks}/begun")
-    append_history(batch.withColumn("load_id", F.lit(load_id)), path, allow_new=True)
-    mark.write.parquet(f"{marks}/done")
-
-
-def _take_out(spark: SparkSession, path: str, load_id: str) -> None:
-    """Remove what an interrupted load has left in the weeks it touched."""
-    if not path_exists(spark, path):
-        return
-    stored = spark.read.schema(StructType([*CHART_HISTORY.fields, StructField("load_id", StringType())])).parquet(path)
-    # weeks of one bounded batch
-    weeks = [r[0] for r in stored.where(F.col("load_id") == load_id).select("chart_date").distinct().collect()]
-    if not weeks:
-        return
-    kept = materialise(stored.where(F.col("chart_date").isin(weeks) & ~F.col("load_id").eqNullSafe(load_id)), "kept")
-    for week in weeks:
-        remove_path(spark, f"{path}/chart_date={week}")
-    append_history(kept, path, allow_new=True)
+    append_history(batch.withColumn("load_id", F.lit(load_id)), path, allow_new=True, load=load_id)
