@@ -53,14 +53,14 @@ def brute_lines(pairs):
     places = []
     for d, t in pairs:
         for no, line in enumerate(t.split("\n") if t is not None else []):
-            if line.strip(" "):
+            if line.strip(" \t\x0b\x0c\r"):
                 places.append((messy_id(d), no, line.split(" ")))
     places.sort(key=lambda p: p[:2])
 
     def near(a, b):
         if a == b:
             return True
-        if min(len(a), len(b)) < line_dedup.MIN_WORDS or abs(len(a) - len(b)) > 1:
+        if max(len(a), len(b)) < 4 or abs(len(a) - len(b)) > 1:
             return False
         if len(a) == len(b):
             return sum(x != y for x, y in zip(a, b, strict=True)) == 1

@@ -1,35 +1,40 @@
 """Near-duplicate lines by a deletion-neighbourhood join; native operators only.
 
 The unit of an edit is a word: two lines are near when one word inserted, deleted or
-replaced turns one into the other. Of lines that are equal or near, the earliest stays;
+replaced turns one into the other, and that word is at most a quarter of the longer line
+(which so has ``LONGER`` words or more). Of lines that are equal or near, the earliest stays;
 lines stand in the order of (doc_id, line number). A line goes if any earlier line is
-equal or near, whether or not that one stays. Lines under ``MIN_WORDS`` words are
-compared exactly only, because one word is too much of them. Blank lines always stay.
+equal or near, whether or not that one stays. Lines of white space only always stay.
 
 1. Lines become 128-bit hashes and equal lines combine.
 2. Near lines agree in the half that the edit spares, so lines whose halves all occur
    once cannot have a neighbour. The others are candidates; a line of n words has
    halves of n/2 and (n-1)/2 words, which lines one word longer or shorter share.
-3. Candidates' texts emit the line itself and its variants with one word deleted, each
-   with the position deleted. Equal variants join: variants with the same position
-   differ by that word; a whole line equal to a variant lacks that word. Each bucket
-   is an aggregate that keeps its earliest line, so a bucket of any size costs one row
-   per member and no pairs are made.
-4. The earliest partner's words verify the distance.
+3. Candidates emit the line itself and its variants with one word deleted. Hashes are sums
+   (by exclusive or) over words and their places, so running sums over the words of a
+   line give each variant in constant time, however long the line is.
+4. Equal variants join: variants with the same place differ by that word; a whole line equal
+   to a variant lacks that word. Variants that occur once are left out by their counts
+   first. Each bucket is an aggregate that keeps its earliest line, so a bucket of any
+   size costs one row per member and no pairs are made.
+5. The earliest partner's words verify the distance.
 
 Null texts have no lines. Null doc_ids come first. Rows that repeat doc_id and text are
-one document. Other columns are ignored. An empty table gives an empty result.
+one document. Other columns are ignored, whatever their names. An empty table gives an empty result.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from upcharts.llm.text import NULL_ID, row_key
 from upcharts.session import materialise
 
-MIN_WORDS = 8
+#: words of the longer of two near lines, at least
+LONGER = 4
 
 _KEY = ["_id", "_check"]
+_PLACE = [*_KEY, "line_no"]
+_BLANK = " \t\x0b\x0c\r"
 
 
 def _words(line: str) -> Column:
@@ -44,26 +49,41 @@ def _hash_pair(*parts: Column) -> list[Column]:
 def _lines(docs: DataFrame) -> DataFrame:
     """One row per line that is not blank, with its place and text."""
     exploded = docs.select(*row_key(), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return exploded.where(F.trim("line") != "")
+    return exploded.where(F.trim("line", F.lit(_BLANK)) != "")
 
 
 def _half_keys() -> Column:
-    n = F.size("words")
-    halves = F.array_distinct(F.array((n / 2).cast("int"), ((n - 1) / 2).cast("int")))
-    front = F.transform(halves, lambda h: F.xxhash64(F.lit("front"), h, F.slice("words", 1, h)))
-    back = F.transform(halves, lambda h: F.xxhash64(F.lit("back"), h, F.slice("words", n - h + 1, h)))
-    return F.when(n >= MIN_WORDS, F.concat(front, back)).otherwise(F.array().cast("array<long>"))
+    """Hashes of the halves of ``line`` that an edit may spare, both from the front and from the back."""
+    n = F.octet_length("line") - F.octet_length(F.replace("line", F.lit(" "), F.lit(""))) + 1
+    sizes = [(n / 2).cast("int"), ((n - 1) / 2).cast("int")]
+    part = lambda count: F.call_function("substring_index", F.col("line"), F.lit(" "), count)
+    keys = [F.xxhash64(F.lit(side), h, part(h if side == "front" else -h)) for h in sizes for side in ("front", "back")]
+    # an odd line has halves of one size only
+    own = F.when(n % 2 == 1, F.array(*keys[:2])).otherwise(F.array(*keys))
+    return F.when(n >= LONGER - 1, own).otherwise(F.array().cast("array<long>"))
 
 
 def _variants(candidates: DataFrame) -> DataFrame:
-    """Hashes of each candidate line (position -1) and of it without one word."""
+    """Two hashes of each candidate line (place -1) and of it without one word."""
     n = F.size("words")
-    left = F.when(F.col("at") < 0, F.col("words")).otherwise(
-        F.concat(F.slice("words", 1, F.greatest("at", F.lit(0))), F.slice("words", F.col("at") + 2, n))
-    )
-    spread = candidates.select("h", "g", "first", "words", F.explode(F.sequence(F.lit(-1), n - 1)).alias("at"))
-    one, two = _hash_pair(F.size("left"), F.col("left"))
-    return spread.withColumn("left", left).select("h", "g", "first", "at", one.alias("one"), two.alias("two"))
+    closed = F.concat("words", F.array(F.lit(None).cast("string")))
+    # a line's words stay in the task that its row was sent to
+    spread = candidates.repartition(*_PLACE).select(*_PLACE, n.alias("n"), F.posexplode(closed).alias("at", "word"))
+    line = Window.partitionBy(*_PLACE).orderBy("at")
+    ahead, upto = line.rowsBetween(Window.unboundedPreceding, -1), line.rowsBetween(Window.unboundedPreceding, 0)
+    whole = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    real = F.col("word").isNotNull()
+    keys = []
+    for seed, name in enumerate(("one", "two")):
+        # a word behind the deleted one moves up by one place
+        here = F.when(real, F.xxhash64(F.lit(seed), F.col("at"), F.col("word"))).otherwise(F.lit(0).cast("long"))
+        moved = F.when(real, F.xxhash64(F.lit(seed), F.col("at") - 1, F.col("word"))).otherwise(F.lit(0).cast("long"))
+        front = F.coalesce(F.bit_xor(here).over(ahead), F.lit(0).cast("long"))
+        behind = F.bit_xor(moved).over(whole).bitwiseXOR(F.bit_xor(moved).over(upto))
+        keys.append(front.bitwiseXOR(behind).alias(name))
+    # without the closing mark, the line itself
+    at = F.when(real, F.col("at")).otherwise(-1).alias("at")
+    return spread.select(*_PLACE, "n", at, *keys).where(f"n >= {LONGER} OR at < 0").drop("n")
 
 
 def within_one_word(a: Column, b: Column) -> Column:
@@ -78,51 +98,53 @@ def within_one_word(a: Column, b: Column) -> Column:
 
 
 def _earliest_near(distinct: DataFrame, docs: DataFrame) -> DataFrame:
-    """For each distinct line with an earlier near line: (h, g, near), the earliest of them."""
+    """For each distinct line with an earlier near line: first (its place) and near, the earliest of them."""
     keys = distinct.select("h", "g", F.explode("keys").alias("key"))
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     chosen = keys.join(shared, "key", "left_semi").select("h", "g").distinct()
-    places = distinct.join(chosen, ["h", "g"]).select("h", "g", "first", "first._id", "first._check", "first.line_no")
-    by_doc = places.groupBy(*_KEY).agg(F.collect_list(F.struct("line_no", "h", "g", "first")).alias("wanted"))
+    places = distinct.join(chosen, ["h", "g"]).select("first._id", "first._check", "first.line_no")
+    by_doc = places.groupBy(*_KEY).agg(F.collect_list("line_no").alias("wanted"))
     texts = docs.select(*row_key(), "text").join(by_doc, _KEY).dropDuplicates(_KEY)
     candidates = materialise(
-        texts.select(F.split("text", "\n").alias("lines"), F.explode("wanted").alias("w")).select(
-            "w.h", "w.g", "w.first", _words(F.element_at("lines", F.col("w.line_no") + 1)).alias("words")
+        texts.select(*_KEY, F.split("text", "\n").alias("lines"), F.explode("wanted").alias("line_no")).select(
+            *_PLACE, _words(F.element_at("lines", F.col("line_no") + 1)).alias("words")
         ),
         "line_candidates",
     )
     variants = materialise(_variants(candidates), "line_variants")
-
-    cut, whole = F.col("at") >= 0, F.col("at") < 0
-    replaced = variants.where(cut).groupBy("one", "two", "at").agg(F.min("first").alias("near"), F.count("*").alias("n")).where("n > 1")
-    by_word = variants.where(cut).join(replaced, ["one", "two", "at"]).select("h", "g", "first", "near")
-    longer = variants.groupBy("one", "two").agg(
-        F.min(F.when(whole, F.col("first"))).alias("whole"), F.min(F.when(cut, F.col("first"))).alias("cut")
-    )
-    longer = longer.where("whole is not null and cut is not null")
-    by_length = variants.join(longer, ["one", "two"]).select("h", "g", "first", F.when(whole, F.col("cut")).otherwise(F.col("whole")).alias("near"))
-    earliest = by_word.union(by_length).where("near < first").groupBy("h", "g").agg(F.min("near").alias("near"))
-    partner = candidates.select(F.col("first").alias("near"), F.col("words").alias("near_words"))
-    checked = earliest.join(candidates.select("h", "g", "words"), ["h", "g"]).join(partner, "near")
-    return checked.where(within_one_word(F.col("words"), F.col("near_words"))).select("h", "g", "near")
+    # what occurs once has no partner; the counts combine before they are shuffled
+    repeated = variants.groupBy("one").agg(F.count("*").alias("n")).where("n > 1").select("one")
+    meeting = materialise(variants.join(repeated, "one", "left_semi").select("one", "two", "at", F.struct(*_PLACE).alias("first")), "meeting_variants")
+
+    cut = F.col("at") >= 0
+    same_place = meeting.groupBy("one", "two", "at").agg(F.min("first").alias("near"), F.count("*").alias("n"))
+    same_place = materialise(same_place, "variant_places")
+    lengths = same_place.groupBy("one", "two").agg(F.min(F.when(~cut, F.col("near"))).alias("whole"), F.min(F.when(cut, F.col("near"))).alias("cut"))
+    # a cut line meets those cut at the same place and the whole one, a whole line the cut ones
+    partners = same_place.join(lengths, ["one", "two"])
+    earliest = F.when(cut, F.least(F.when(F.col("n") > 1, F.col("near")), "whole")).otherwise(F.col("cut"))
+    partners = partners.select("one", "two", "at", earliest.alias("near")).where("near is not null")
+    found = meeting.join(partners, ["one", "two", "at"]).where("near < first").groupBy("first").agg(F.min("near").alias("near"))
+
+    placed = candidates.select(F.struct(*_PLACE).alias("first"), "words")
+    partner = placed.select(F.col("first").alias("near"), F.col("words").alias("near_words"))
+    checked = found.join(placed, "first").join(partner, "near")
+    return checked.where(within_one_word(F.col("words"), F.col("near_words"))).select("first", "near")
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
     """One row per line that goes: _id, _check, line_no and ``keep``, the earliest equal or near line."""
     h, g = _hash_pair(F.col("line"))
-    lines = materialise(
-        _lines(docs).withColumn("words", _words("line")).select(*_KEY, "line_no", h.alias("h"), g.alias("g"), _half_keys().alias("keys")),
-        "lines",
-    )
-    place = F.struct("_id", "_check", "line_no")
+    lines = materialise(_lines(docs).select(*_PLACE, h.alias("h"), g.alias("g"), _half_keys().alias("keys")), "lines")
+    place = F.struct(*_PLACE)
     distinct = materialise(
         lines.groupBy("h", "g").agg(F.min(place).alias("first"), F.count("*").alias("n"), F.first("keys").alias("keys")),
         "distinct_lines",
     )
     near = _earliest_near(distinct, docs)
-    keep = distinct.select("h", "g", "first", "n").join(near, ["h", "g"], "left").where("n > 1 or near is not null")
+    keep = distinct.select("h", "g", "first", "n").join(near, "first", "left").where("n > 1 or near is not null")
     keep = keep.select("h", "g", F.coalesce("near", "first").alias("keep"))
-    return lines.select(*_KEY, "line_no", "h", "g").join(keep, ["h", "g"]).where(place != F.col("keep")).select(*_KEY, "line_no", "keep")
+    return lines.select(*_PLACE, "h", "g").join(keep, ["h", "g"]).where(place != F.col("keep")).select(*_PLACE, "keep")
 
 
 def line_report(docs: DataFrame) -> DataFrame:
@@ -132,7 +154,7 @@ def line_report(docs: DataFrame) -> DataFrame:
     the documents that hold the line kept in place of each, both joined by commas.
     """
     gone = removed_lines(docs).groupBy(*_KEY).agg(F.array_sort(F.collect_set(F.struct("line_no", F.col("keep._id").alias("of")))).alias("gone"))
-    counted = docs.select("doc_id", *row_key(), F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).alias("n_lines"))
+    counted = docs.select(F.col("doc_id").alias("doc_id"), *row_key(), F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).alias("n_lines"))
     of = lambda x: F.coalesce(F.nullif(x["of"], F.lit(NULL_ID)).cast("string"), F.lit("null"))
     return counted.join(gone, _KEY, "left").select(
         "doc_id",
@@ -145,8 +167,9 @@ def line_report(docs: DataFrame) -> DataFrame:
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """``docs`` with the lines that go taken out of text; a null text stays null."""
-    gone = removed_lines(docs).groupBy(*_KEY).agg(F.collect_set("line_no").alias("_gone"))
-    marked = docs.select("*", *row_key()).join(gone, _KEY, "left")
-    kept = F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains("_gone", i))
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    return marked.withColumn("text", text).select(*docs.columns)
+    gone = removed_lines(docs).groupBy(*_KEY).agg(F.collect_set("line_no").alias("gone"))
+    # the rows stand in a struct of their own, so that none of their columns can clash
+    rows = docs.select(F.struct("*").alias("row"), *row_key()).join(gone, _KEY, "left")
+    kept = F.filter(F.split("row.text", "\n"), lambda line, i: ~F.array_contains("gone", i))
+    text = F.when(F.col("gone").isNull(), F.col("row.text")).otherwise(F.array_join(kept, "\n"))
+    return rows.select(F.col("row").withField("text", text).alias("row")).select("row.*")

@@ -111,21 +111,21 @@ ORACLE: dict[str, str] = {
         l AS (
           SELECT doc_id, i - 1 AS line_no, body[i] AS line
           FROM (SELECT doc_id, body, unnest(range(1, len(body) + 1)) AS i FROM d WHERE text IS NOT NULL)
-          WHERE trim(body[i]) <> ''
+          WHERE trim(body[i], ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> ''
         ),
         u AS (
           SELECT line, min({'doc_id': doc_id, 'line_no': line_no}) AS first, string_split(line, ' ') AS w
           FROM l GROUP BY line
         ),
-        k AS (SELECT *, len(w) AS n, unnest(list_distinct([len(w) // 2, (len(w) - 1) // 2])) AS half FROM u WHERE len(w) >= 8),
+        k AS (SELECT *, len(w) AS n, unnest(list_distinct([len(w) // 2, (len(w) - 1) // 2])) AS half FROM u WHERE len(w) >= 3),
         p AS (
           SELECT a.line, b.line AS other, a.w, a.n, b.w AS v, b.n AS m, b.first AS near
           FROM k a JOIN k b ON a.half = b.half AND a.w[1:a.half] = b.w[1:b.half]
-          WHERE b.first < a.first AND abs(a.n - b.n) <= 1
+          WHERE b.first < a.first AND abs(a.n - b.n) <= 1 AND greatest(a.n, b.n) >= 4
           UNION
           SELECT a.line, b.line, a.w, a.n, b.w, b.n, b.first
           FROM k a JOIN k b ON a.half = b.half AND a.w[a.n - a.half + 1:] = b.w[b.n - b.half + 1:]
-          WHERE b.first < a.first AND abs(a.n - b.n) <= 1
+          WHERE b.first < a.first AND abs(a.n - b.n) <= 1 AND greatest(a.n, b.n) >= 4
         ),
         near AS (
           SELECT line, min(near) AS near FROM p
