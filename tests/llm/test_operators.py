@@ -112,8 +112,37 @@ def test_exact(spark, docs, pairs):
     assert in_order(exact_dedup.dedup_against(docs, path, 8).collect()) == in_order(messy.brute_exact(pairs))
     # a second batch loses what the index holds
     more = spark.createDataFrame([(900, "HeLLo"), (901, "new here"), (902, "NEW HERE")], "doc_id long, text string")
-    kept = [r["doc_id"] for r in exact_dedup.dedup_against(more, path, 8).where("kept").collect()]
-    assert kept == [902]
+    found = {r["doc_id"]: (r["keep_id"], r["group_size"], r["kept"]) for r in exact_dedup.dedup_against(more, path, 8).collect()}
+    # three copies of hello were there
+    hello = max(d for d, t in pairs if t and t.lower() == "hello")
+    assert found == {900: (hello, 4, False), 901: (902, 2, False), 902: (902, 2, True)}
+
+
+def test_exact_in_batches(spark, docs, pairs):
+    for batches in (1, 3, 7):
+        got = exact_dedup.dedup_against(docs, fresh_path(spark, "t_index"), 8, batches)
+        assert in_order(got.collect()) == in_order(messy.brute_exact(pairs))
+
+
+def test_exact_with_a_hot_text(spark):
+    """A third of the rows are one text: no task gathers them, and the index decides later batches."""
+    rows = [(i, "the hot text" if i % 3 == 0 else f"text {i // 2}") for i in range(6000)] + [(None, "THE hot text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = exact_dedup.dedup_against(docs, fresh_path(spark, "t_index"), 8, 3)
+    assert in_order(got.collect()) == in_order(messy.brute_exact(rows))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+
+
+def test_dropped_copies_leave_columns_alone(spark):
+    rows = [(*r, 1, 2, "x", 3, 4, 5, 6) for r in messy.messy_rows()]
+    docs = spark.createDataFrame(rows, messy.CLASHING)
+    kept = exact_dedup.drop_copies(docs, fresh_path(spark, "t_index"))
+    assert kept.columns == docs.columns
+    expected = [r[0] for r in messy.brute_exact([r[:2] for r in rows]) if r[3]]
+    assert in_order((r["doc_id"],) for r in kept.collect()) == in_order((d,) for d in expected)
+    assert {tuple(r) for r in kept.select("_digest", "_keep").collect()} == {("x", 4)}
+    assert exact_dedup.drop_copies(docs.limit(0), fresh_path(spark, "t_index")).collect() == []
 
 
 def test_shards(docs, pairs):
