@@ -157,12 +157,15 @@ def group_links(members: DataFrame, classes: DataFrame, texts: DataFrame, shingl
 
     least = pairs.groupBy("rep").agg(F.min(F.struct("kind", "leader")).alias("at")).select("at.kind", "at.leader", "rep")
     first = materialise(_confirmed(with_leaders(least).withColumn("comp", F.col("rep")), held, shingle, percent, filter_of), "first_links")
-    grown = materialise(components(first), "first_components").withColumnRenamed("node", "rep")
+    stars = materialise(components(first), "first_components")
+    grown = stars.withColumnRenamed("node", "rep")
     placed = with_leaders(pairs).join(grown, "rep", "left").select("kind", "leader", "rep", F.coalesce("component", "rep").alias("comp"))
     placed = materialise(placed, "placed_in_groups")
     mixed = placed.groupBy("kind", "leader").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low != high")
     rest = placed.join(mixed.select("kind", "leader"), ["kind", "leader"], "left_semi")
-    return first.union(materialise(_confirmed(rest, held, shingle, percent, filter_of), "more_links"))
+    more = materialise(_confirmed(rest, held, shingle, percent, filter_of), "more_links")
+    # each class with its component says the same as the first links, and is soon contracted again
+    return stars.select(F.col("node").alias("u"), F.col("component").alias("v")).union(more)
 
 
 def set_classes(sketches: DataFrame, carried: list[str]) -> DataFrame:
