@@ -2,7 +2,8 @@
 
 The table is range partitioned and stored once with its block number. Running sums
 inside a block are a window over that block; what lies before a block comes from
-the totals of the blocks, one row each. No task sees more than one block.
+the totals of the blocks, one row each and at most ``MOST_BLOCKS``. No task sees more than
+one block.
 """
 
 import math
@@ -13,10 +14,13 @@ from pyspark.sql import functions as F
 from upcharts.session import materialise
 
 ROWS_PER_BLOCK = 16384
+#: beyond so many blocks they grow instead, so that neither the shuffle nor the window over
+#: the blocks' totals outgrows a task
+MOST_BLOCKS = 100_000
 
 
 def blocks_for(rows: int, rows_per_block: int = ROWS_PER_BLOCK) -> int:
-    return max(1, math.ceil(rows / rows_per_block))
+    return min(MOST_BLOCKS, max(1, math.ceil(rows / rows_per_block)))
 
 
 def in_blocks(df: DataFrame, order: list[str], rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:

@@ -1,11 +1,11 @@
 """Token files: Parquet lists of ids, written in doc_id order and read selectively.
 
 Texts are range partitioned by doc_id, encoded, and written with one row per document:
-doc_id, block (the range), n_tokens and the ids as a list column. The ids use dictionary
-pages (a vocabulary fits one), n_tokens and doc_id delta pages; row groups and pages have
+doc_id, block (the range), row (its number in the file), n_tokens and the ids as a list
+column. The ids use dictionary pages (a vocabulary fits one), the numbers delta pages; row groups and pages have
 set sizes and page indexes, so a filter on doc_id reads only pages it needs and a query
 on n_tokens alone never touches ids. ``start`` (ids before a document) comes from the
-blocks' totals and a running sum within each block.
+blocks' totals and a running sum over the rows of a block, in the order of the file.
 
 Null texts hold the end id only. Null doc_ids come first. Rows that share a doc_id are
 ordered by a hash of their text. Other columns are ignored. An empty table gives an empty
@@ -30,18 +30,21 @@ ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 128 << 10
 PAGE_ROWS = 256
 
-_ROWS = "doc_id long, n_tokens long, ids array<int>"
+_ROWS = "doc_id long, row long, n_tokens long, ids array<int>"
 
 
 def _encoded(vocabulary: str, path: str | None, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary, path).encode
+        encode, written = encoder(vocabulary, path).encode, 0
         for batch in batches:
             for row, stop, data, offsets in text_slices(batch.column("text"), SLICE):
                 ids, bounds = encode(data, offsets, end)
+                numbers = np.arange(written, written + stop - row)
+                written += stop - row
                 yield pa.record_batch(
                     {
                         "doc_id": batch.column("doc_id").slice(row, stop - row),
+                        "row": pa.array(numbers),
                         "n_tokens": pa.array(np.diff(bounds)),
                         "ids": pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(ids.view(np.int32))),
                     }
@@ -84,6 +87,7 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             {
                 "doc_id": batch.column("doc_id"),
                 "block": batch.column("block"),
+                "row": batch.column("row"),
                 "n_tokens": pa.array(np.diff(ends), pa.int64()),
                 "ids_crc32": pa.array(crc, pa.int64()),
             }
@@ -93,10 +97,10 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def token_digests(spark: SparkSession, folder: str) -> DataFrame:
     """One row per document of the files: doc_id, start, n_tokens, ids_crc32."""
     rows = in_tasks(
-        read_tokens(spark, folder).select("doc_id", "block", "ids"),
+        read_tokens(spark, folder).select("doc_id", "block", "row", "ids"),
         _sums,
-        "doc_id long, block int, n_tokens long, ids_crc32 long",
+        "doc_id long, block int, row long, n_tokens long, ids_crc32 long",
     )
     # the blocks' totals come from the n_tokens column alone
-    placed = running_sums(rows, ["doc_id", "ids_crc32", "n_tokens"], {"start": F.col("n_tokens")}, read_tokens(spark, folder))
+    placed = running_sums(rows, ["row"], {"start": F.col("n_tokens")}, read_tokens(spark, folder))
     return placed.select("doc_id", "start", "n_tokens", "ids_crc32")
