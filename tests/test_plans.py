@@ -34,6 +34,7 @@ SINKS = {
     "manifest_roundtrip",
     "model_table",
     "load_audit_written",
+    "metadata_row_order",
     "week_replacement",
     "gated_load",
     "quarantine",

@@ -10,8 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# values per block in the two-level median search
-_BLOCK = 4096
+# values per block at the levels of the median search
+_WIDTHS = (1 << 21, 1 << 10)
 
 
 def value_histogram(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -20,31 +20,44 @@ def value_histogram(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame
     return known.groupBy(*keys, F.col(value).cast("long").alias("value")).agg(F.count("*").alias("freq"))
 
 
+def _blocks_with_middle(hist: DataFrame, keys: Sequence[str], width: int, outer: DataFrame | None, outer_width: int) -> DataFrame:
+    """Blocks of ``width`` values that hold a middle position: ``*keys, block, before, lower, upper``.
+
+    ``outer`` are the wider blocks found before; only values inside them are looked at.
+    """
+    blocked = hist.withColumn("block", _block(width))
+    inside = list(keys)
+    if outer is not None:
+        found = outer.withColumnRenamed("block", "outer").withColumnRenamed("before", "ahead")
+        blocked = blocked.withColumn("outer", _block(outer_width)).join(found, [*keys, "outer"])
+        inside += ["outer", "ahead", "lower", "upper"]
+    blocks = blocked.groupBy(*inside, "block").agg(F.sum("freq").alias("in_block"))
+    by_block = Window.partitionBy(*inside).orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
+    blocks = blocks.withColumn("upto", F.sum("in_block").over(by_block))
+    if outer is None:
+        total = F.sum("in_block").over(Window.partitionBy(*keys))
+        blocks = blocks.withColumns({"total": total, "ahead": F.lit(0).cast("long")})
+        blocks = blocks.withColumns({"lower": F.expr("(total + 1) div 2"), "upper": F.expr("(total + 2) div 2")})
+    before, upto = F.col("ahead") + F.col("upto") - F.col("in_block"), F.col("ahead") + F.col("upto")
+    holds = [(before < F.col(at)) & (F.col(at) <= upto) for at in ("lower", "upper")]
+    return blocks.where(holds[0] | holds[1]).select(*keys, "block", before.alias("before"), "lower", "upper")
+
+
+def _block(width: int) -> Column:
+    # never NULL: the join adds no filter on it, so both sides share one histogram
+    return F.coalesce(F.floor(F.col("value") / width), F.lit(0))
+
+
 def histogram_median(hist: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Exact median per key: ``*keys, median``.
 
-    Finds the block of values holding each middle position first, then the value
-    inside that block, so neither running sum covers more than one row per block
-    or ``_BLOCK`` rows.
+    Finds the wide blocks of values that hold the middle positions, then narrow blocks inside
+    them, then the value. For values of 32 bits no running sum covers more than 2,048
+    rows, whatever the number of distinct values.
     """
-    # never NULL: the join adds no filter on it, so both sides share one histogram
-    block = F.coalesce(F.floor(F.col("value") / _BLOCK), F.lit(0))
-    blocked = hist.withColumn("block", block)
-    by_block = Window.partitionBy(*keys).orderBy("block")
-    blocks = (
-        blocked.groupBy(*keys, "block")
-        .agg(F.sum("freq").alias("in_block"))
-        .withColumn("upto", F.sum("in_block").over(by_block.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("total", F.sum("in_block").over(Window.partitionBy(*keys)))
-        .withColumn("lower", F.expr("(total + 1) div 2"))
-        .withColumn("upper", F.expr("(total + 2) div 2"))
-        .withColumn("before", F.col("upto") - F.col("in_block"))
-        .where(
-            (F.col("before") < F.col("lower")) & (F.col("lower") <= F.col("upto"))
-            | (F.col("before") < F.col("upper")) & (F.col("upper") <= F.col("upto"))
-        )
-        .select(*keys, "block", "before", "lower", "upper")
-    )
+    outer, outer_width = None, 0
+    for width in _WIDTHS:
+        outer, outer_width = _blocks_with_middle(hist, keys, width, outer, outer_width), width
     in_block = Window.partitionBy(*keys, "block").orderBy("value")
     seen = F.col("before") + F.sum("freq").over(in_block.rowsBetween(Window.unboundedPreceding, 0))
 
@@ -53,7 +66,8 @@ def histogram_median(hist: DataFrame, keys: Sequence[str]) -> DataFrame:
         return F.max(F.when(holds, F.col("value")))
 
     return (
-        blocked.join(blocks, [*keys, "block"])
+        hist.withColumn("block", _block(outer_width))
+        .join(outer, [*keys, "block"])
         .withColumn("seen", seen)
         .groupBy(*keys)
         .agg(((middle("lower") + middle("upper")) / 2).alias("median"))

@@ -83,13 +83,15 @@ def debut_cohort(history: DataFrame, debuts: DataFrame | None = None, **cohort)
 
 
 def observation_window(
-    debuts: DataFrame, history: DataFrame, weeks: int = WINDOW_WEEKS, cutoff: date | None = None
+    debuts: DataFrame, history: DataFrame, weeks: int = WINDOW_WEEKS, cutoff: date | None = None, sliced: bool = True
 ) -> DataFrame:
     """Debuts with every position from the debut week to ``weeks`` later, inclusive.
 
     Time is cut into slices one window long, so a window touches at most two of
     them: each debut is looked up in two slices, each chart row stays in one. If no
     debut is later than ``cutoff``, chart rows after its window are never read.
+    Without slices the join is on the song alone, which a history bucketed by song
+    meets without a shuffle.
     """
     days = 7 * weeks
     if cutoff is not None:
@@ -99,6 +101,10 @@ def observation_window(
         return F.floor(F.unix_date(d) / (days + 1))
 
     debut, last = F.col("debut_date"), F.date_add("debut_date", days)
+    if not sliced:
+        inside = F.col("chart_date").between(debut, last)
+        joined = debuts.join(history.select(*SONG, "chart_date", "rank"), SONG).where(inside)
+        return joined.withColumn("week_number", weeks_between("chart_date", "debut_date"))
     slices = F.array_distinct(F.array(time_slice(debut), time_slice(last)))
     positions = history.select(
         *SONG, "chart_date", "rank", time_slice(F.col("chart_date")).alias("time_slice")
@@ -112,12 +118,25 @@ def observation_window(
     )
 
 
+def stored_cohort(
+    windows: DataFrame, cutoff: date | None = None, require_tags: bool = True, require_primary: bool = False
+) -> DataFrame:
+    """The cohort's rows of stored window results, which hold debuts outside bulk releases only."""
+    if cutoff is not None:
+        windows = windows.where(F.col("debut_date") <= F.lit(cutoff))
+    if require_tags:
+        windows = windows.where(F.size("genre_tags") > 0)
+    return windows.where(F.col("primary_artist_used").isNotNull()) if require_primary else windows
+
+
 def best_rank(
     history: DataFrame,
     keys: Sequence[str] = tuple(GENRE_KEYS),
     weeks: int = WINDOW_WEEKS,
     strategy: str = "join",
     debuts: DataFrame | None = None,
+    windows: DataFrame | None = None,
+    sliced: bool = True,
     **cohort,
 ) -> DataFrame:
     """``*keys, best_rank_8wk``: best rank of each cohort debut inside its window.
@@ -125,13 +144,16 @@ def best_rank(
     ``strategy="join"`` joins debuts to positions: one shuffle of the history,
     none when the debuts turn out small enough to broadcast. ``"window"`` takes
     a running minimum per song without a join; rows are first reduced to one per
-    (song, week, debut), which costs a second shuffle. Results are equal.
+    (song, week, debut), which costs a second shuffle. ``windows`` are stored results
+    of ``windows.py``; the history is not read then. Results are equal.
     """
+    if windows is not None:
+        return stored_cohort(windows, **cohort).groupBy(*keys).agg(F.min("best").alias("best_rank_8wk"))
     if strategy == "join":
         chosen = debut_cohort(history, debuts, weeks=weeks, **cohort).select(
             *dict.fromkeys([*keys, "debut_date"])
         )
-        observed = observation_window(chosen, history, weeks, cohort.get("cutoff"))
+        observed = observation_window(chosen, history, weeks, cohort.get("cutoff"), sliced)
         return observed.groupBy(*keys).agg(F.min("rank").alias("best_rank_8wk"))
     if strategy != "window":
         raise ValueError(f"unknown strategy: {strategy}")

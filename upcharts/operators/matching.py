@@ -4,12 +4,13 @@ Candidates: ``name, artist_id, score, tags, error`` -- zero or more rows per
 looked-up name; a row with ``error`` is a lookup that failed.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from upcharts.functions.credits import primary_artist
 from upcharts.functions.tags import no_tags
 from upcharts.schemas import ARTIST_METADATA
+from upcharts.session import materialise
 
 SCORE_THRESHOLD = 80
 
@@ -52,6 +53,52 @@ def best_candidate(candidates: DataFrame) -> DataFrame:
     )
 
 
+def _grams(name: Column, q: int) -> Column:
+    """Distinct q-grams of a name in lower case between marks."""
+    closed = F.concat(F.lit(" " * (q - 1)), F.lower(F.trim(name)), F.lit(" " * (q - 1)))
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(closed) - (q - 1)), lambda i: F.substring(closed, i, F.lit(q))))
+
+
+def name_scores(names: DataFrame, catalogue: DataFrame, threshold: int = SCORE_THRESHOLD, q: int = 3) -> DataFrame:
+    """Candidates of each ``names.name`` among ``catalogue.candidate``: name, candidate, score.
+
+    The score is 100 times Dice's coefficient of the names' distinct q-grams, rounded down.
+    Names of m and n grams that reach the threshold t share at least t (m + n) / 200 of
+    them, and m is at most n (200 - t) / t; so both have one of the shared grams among their
+    rarest ones, as many as these bounds leave. Only those are joined, and the common
+    grams that all names have are not; survivors are scored on all their grams. Null names have no candidates.
+    """
+    sides = names.select(F.col("name").alias("text")).union(catalogue.select(F.col("candidate").alias("text")))
+    texts = sides.where(F.col("text").isNotNull()).distinct()
+    grams = texts.select("text", _grams(F.col("text"), q).alias("grams"))
+    counts = grams.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("n"))
+    ranked = grams.select("text", F.explode("grams").alias("gram")).join(counts, "gram")
+    ordered = ranked.groupBy("text").agg(F.array_sort(F.collect_list(F.struct("n", "gram"))).alias("by_rarity"))
+    n = F.size("by_rarity")
+    # the partner has n t / (200 - t) grams at least
+    common = F.ceil(F.lit(threshold) * (n + n * threshold / (200 - threshold)) / 200 - 1e-9).cast("int")
+    kept = F.slice("by_rarity", F.lit(1), n - F.greatest(common, F.lit(1)) + 1)
+    ordered = materialise(ordered.select("text", F.transform("by_rarity", lambda g: g["gram"]).alias("grams"), F.transform(kept, lambda g: g["gram"]).alias("rare")), "name_grams")
+
+    def side(rows: DataFrame, column: str) -> DataFrame:
+        held = rows.select(F.col(column).alias("text")).distinct().join(ordered, "text")
+        return held.select(F.col("text").alias(column), F.col("grams").alias(f"{column}_grams"), "rare")
+
+    left, right = side(names, "name"), side(catalogue, "candidate")
+    pairs = left.select("name", F.explode("rare").alias("gram")).join(right.select("candidate", F.explode("rare").alias("gram")), "gram")
+    pairs = pairs.select("name", "candidate").distinct().join(left.drop("rare"), "name").join(right.drop("rare"), "candidate")
+    shared = F.size(F.array_intersect("name_grams", "candidate_grams"))
+    score = F.floor(200 * shared / (F.size("name_grams") + F.size("candidate_grams"))).cast("int")
+    return pairs.select("name", "candidate", score.alias("score")).where(F.col("score") >= threshold)
+
+
+def scored_candidates(names: DataFrame, catalogue: DataFrame, threshold: int = SCORE_THRESHOLD) -> DataFrame:
+    """Lookup answers for ``names`` (name) from a ``catalogue`` (candidate, artist_id, tags), scored by name."""
+    found = name_scores(names, catalogue, threshold)
+    error = F.lit(None).cast("string").alias("error")
+    return found.join(catalogue, "candidate").select("name", "artist_id", "score", "tags", error)
+
+
 def match_artists(names: DataFrame, candidates: DataFrame, threshold: int = SCORE_THRESHOLD) -> DataFrame:
     """``names`` (any rows with primary_artist_used) plus status, score, mbid, tags, found, error.
 
@@ -93,14 +140,16 @@ def lookup_artists(entries: DataFrame, candidates: DataFrame, threshold: int = S
 
 
 def match_summary(entries: DataFrame, metadata: DataFrame) -> DataFrame:
-    """One row: lead artists, credits, weeks, credits found (of all credits)."""
-    primaries = metadata.select("primary_artist_used").distinct()
-    weeks = entries.select("chart_date").distinct()
+    """One row: lead artists, credits, weeks, credits found (of all credits); each table is scanned once."""
+    # an unknown lead artist counts as one
+    unknown = F.coalesce(F.max(F.col("primary_artist_used").isNull().cast("int")), F.lit(0))
     return metadata.agg(
-        F.count("*").alias("credits"), F.count_if("found").alias("credits_found")
+        (F.count_distinct("primary_artist_used") + unknown).alias("unique_primaries"),
+        F.count("*").alias("credits"),
+        F.count_if("found").alias("credits_found"),
     ).select(
-        primaries.select(F.count("*")).scalar().alias("unique_primaries"),
+        "unique_primaries",
         "credits",
-        weeks.select(F.count("*")).scalar().alias("weeks"),
+        entries.select(F.count_distinct("chart_date")).scalar().alias("weeks"),
         "credits_found",
     )

@@ -31,7 +31,11 @@ def snapshot_profile(history: DataFrame) -> DataFrame:
 
 def movement_baseline(history: DataFrame) -> DataFrame:
     """One row: eligible rows, mean and median delta, how many went up, flat, down."""
-    hist = value_histogram(weekly_delta(history), [], "delta")
+    return baseline_of(value_histogram(weekly_delta(history), [], "delta"))
+
+
+def baseline_of(hist: DataFrame) -> DataFrame:
+    """The baseline of a histogram of deltas (value, freq)."""
     median = histogram_median(hist, []).scalar()
     weighted = F.col("value").cast("decimal(19,0)") * F.col("freq").cast("decimal(19,0)")
 
@@ -71,7 +75,11 @@ def genre_delta_naive(history: DataFrame) -> DataFrame:
 
 def robust_summary(df: DataFrame, keys: Sequence[str], value: str, min_n: int = MIN_SONGS) -> DataFrame:
     """Per key with >= ``min_n`` rows: n, mean, median, standard error, mean without the top row."""
-    hist = value_histogram(df, keys, value)
+    return robust_of(value_histogram(df, keys, value), keys, min_n)
+
+
+def robust_of(hist: DataFrame, keys: Sequence[str], min_n: int = MIN_SONGS) -> DataFrame:
+    """``robust_summary`` of a histogram (*keys, value, freq)."""
     return (
         histogram_summary(hist, keys)
         .where(F.col("n") >= min_n)
@@ -95,6 +103,37 @@ def genre_delta_robust(history: DataFrame, min_songs: int = MIN_SONGS) -> DataFr
     return _rounded(robust_summary(delta_by_tag(history), ["genre"], "delta", min_songs), "genre")
 
 
+def delta_histogram(history: DataFrame) -> DataFrame:
+    """Weekly deltas as a histogram that merges over weeks: chart_date, genre, value, freq.
+
+    Rows without a genre count every eligible chart row, the others the tags of rows outside
+    release-week floods. One pass over the history; stored, it answers the movement
+    statistics of any set of weeks.
+    """
+    tags = F.when(~F.col("is_release_week_bulk_entry"), F.col("genre_tags")).otherwise(F.array().cast("array<string>"))
+    genres = F.concat(F.array(F.lit(None).cast("string")), F.coalesce(tags, F.array().cast("array<string>")))
+    rows = weekly_delta(history).select("chart_date", "delta", F.explode(genres).alias("genre"))
+    return value_histogram(rows, ["chart_date", "genre"], "delta")
+
+
+def merged_histogram(stored: DataFrame, keys: Sequence[str] = ("genre",)) -> DataFrame:
+    """Histogram per genre, or of all rows where ``keys`` is empty, from those of single weeks."""
+    chosen = stored.where(F.col("genre").isNotNull() if keys else F.col("genre").isNull())
+    return chosen.groupBy(*keys, "value").agg(F.sum("freq").alias("freq"))
+
+
+def stored_baseline(stored: DataFrame) -> DataFrame:
+    return baseline_of(merged_histogram(stored, []))
+
+
+def stored_delta_robust(stored: DataFrame, min_songs: int = MIN_SONGS) -> DataFrame:
+    return _rounded(robust_of(merged_histogram(stored), ["genre"], min_songs), "genre")
+
+
+def stored_delta_ci(stored: DataFrame, min_songs: int = MIN_SONGS) -> DataFrame:
+    return confidence_interval(robust_of(merged_histogram(stored), ["genre"], min_songs))
+
+
 def genre_climb_robust(history: DataFrame, min_songs: int = MIN_SONGS, **options) -> DataFrame:
     """The robust leaderboard of the observation-window climb."""
     tagged = by_tag(climbs(history, GENRE_KEYS, **options)).select("genre", "climb")

@@ -84,20 +84,12 @@ def cohort_funnel(history: DataFrame, cutoff: date | None = None, weeks: int = W
 
 
 def corpus_summary(history: DataFrame) -> DataFrame:
-    """One row: weeks, rows, distinct songs, distinct primary artists, date range."""
-    songs = history.select(*SONG).distinct()
-    artists = history.select("primary_artist_used").where("primary_artist_used IS NOT NULL").distinct()
-    weekly = history.groupBy("chart_date").agg(F.count("*").alias("rows"))
-    return weekly.agg(
-        F.count("*").alias("weeks"),
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"),
+    """One row: weeks, rows, distinct songs, distinct primary artists, date range; from one scan."""
+    return history.agg(
+        F.count_distinct("chart_date").alias("weeks"),
+        F.count("*").alias("rows"),
+        F.count_distinct(F.struct(*SONG)).alias("songs"),
+        F.count_distinct("primary_artist_used").alias("primary_artists"),
         F.min("chart_date").alias("first_week"),
         F.max("chart_date").alias("last_week"),
-    ).select(
-        "weeks",
-        "rows",
-        songs.select(F.count("*")).scalar().alias("songs"),
-        artists.select(F.count("*")).scalar().alias("primary_artists"),
-        "first_week",
-        "last_week",
     )

@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 from upcharts.dims import GENRE_ALLOWLIST, override_frame
 from upcharts.functions.credits import primary_artist
 from upcharts.functions.tags import allowed_tags, no_tags
+from upcharts.session import materialise
 from upcharts.sources.history import conform
 
 BULK_THRESHOLD = 5
+# a credit is heavy above one row in HEAVY_SHARE; its rows are dealt over SALTS keys
+HEAVY_SHARE, SALTS = 200, 64
 
 
 def flag_debuts(entries: DataFrame) -> DataFrame:
@@ -96,6 +99,27 @@ def resolve_metadata(
     )
 
 
+def heavy_credits(entries: DataFrame, share: int = HEAVY_SHARE) -> DataFrame:
+    """Credits with more than one row in ``share`` of all; so there are fewer than ``share`` of them."""
+    counts = materialise(entries.groupBy("artist").agg(F.count("*").alias("n")), "credit_counts")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return counts.where((F.col("n") > total // share) & F.col("artist").isNotNull()).select("artist")
+
+
+def join_per_credit(entries: DataFrame, resolved: DataFrame, share: int = HEAVY_SHARE, salts: int = SALTS) -> DataFrame:
+    """``entries`` with the columns of their credit in ``resolved`` (left join).
+
+    Rows of a heavy credit are dealt over ``salts`` keys, and its one row of ``resolved``
+    is repeated for these only; all others keep one key.
+    """
+    heavy = F.broadcast(heavy_credits(entries, share).withColumn("heavy", F.lit(True)))
+    salt = F.when(F.col("heavy"), F.pmod(F.xxhash64("chart_date", "rank", "title"), F.lit(salts)).cast("int")).otherwise(0)
+    copies = F.when(F.col("heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    rows = entries.join(heavy, "artist", "left").withColumn("salt", salt).drop("heavy")
+    sides = resolved.join(heavy, "artist", "left").withColumn("salt", F.explode(copies)).drop("heavy")
+    return rows.join(sides, ["artist", "salt"], "left").drop("salt")
+
+
 def stage_history(
     entries: DataFrame,
     metadata: DataFrame,
@@ -109,7 +133,7 @@ def stage_history(
     """
     resolved = resolve_metadata(metadata, allowlist, overrides).drop("dropped_tags", "overridden")
     flagged = flag_bulk_entries(flag_debuts(entries), bulk_threshold)
-    staged = flagged.join(resolved, "artist", "left").withColumn(
+    staged = join_per_credit(flagged, resolved).withColumn(
         "genre_tags", F.coalesce("genre_tags", no_tags())
     )
     return conform(staged)
@@ -121,23 +145,16 @@ def staging_summary(
     allowlist: Sequence[str] = GENRE_ALLOWLIST,
     overrides: DataFrame | None = None,
 ) -> DataFrame:
-    """Weeks staged, first and last, tags dropped and rows overridden (per chart row)."""
-    resolved = resolve_metadata(metadata, allowlist, overrides)
-    per_credit = entries.groupBy("artist").agg(F.count("*").alias("chart_rows"))
-    weeks = entries.groupBy("chart_date").agg(F.count("*").alias("chart_rows"))
-    return (
-        per_credit.join(resolved, "artist")
-        .agg(
-            F.coalesce(F.sum(F.col("chart_rows") * F.col("dropped_tags")), F.lit(0)).alias("dropped_tags"),
-            F.coalesce(F.sum(F.when(F.col("overridden"), F.col("chart_rows"))), F.lit(0)).alias(
-                "overridden_rows"
-            ),
-        )
-        .select(
-            weeks.select(F.count("*")).scalar().alias("weeks_staged"),
-            weeks.select(F.min("chart_date")).scalar().alias("first_week"),
-            weeks.select(F.max("chart_date")).scalar().alias("last_week"),
-            "dropped_tags",
-            "overridden_rows",
-        )
+    """Weeks staged, first and last, tags dropped and rows overridden (per chart row).
+
+    The entries are scanned once, down to one row per credit and week.
+    """
+    resolved = resolve_metadata(metadata, allowlist, overrides).select("artist", "dropped_tags", "overridden")
+    grain = entries.groupBy("artist", "chart_date").agg(F.count("*").alias("chart_rows"))
+    return grain.join(resolved, "artist", "left").agg(
+        F.count_distinct("chart_date").alias("weeks_staged"),
+        F.min("chart_date").alias("first_week"),
+        F.max("chart_date").alias("last_week"),
+        F.coalesce(F.sum(F.col("chart_rows") * F.col("dropped_tags")), F.lit(0)).alias("dropped_tags"),
+        F.coalesce(F.sum(F.when(F.col("overridden"), F.col("chart_rows"))), F.lit(0)).alias("overridden_rows"),
     )

@@ -13,6 +13,7 @@ from upcharts.operators.cohort import (
     climbs,
     debut_cohort,
     observation_window,
+    stored_cohort,
     with_debut_month,
 )
 
@@ -117,19 +118,27 @@ def recurrence_summary(history: DataFrame, **options) -> DataFrame:
     )
 
 
-def song_shapes(history: DataFrame, weeks: int = WINDOW_WEEKS, **cohort) -> DataFrame:
-    """Climbing songs still seen in week 5 or later: total climb and climb by week 2."""
-    debuts = debut_cohort(history, weeks=weeks, **cohort).select(*GENRE_KEYS, "debut_date")
-    week, rank = F.col("week_number"), F.col("rank")
-    return (
-        observation_window(debuts, history, weeks, cohort.get("cutoff"))
-        .groupBy(*GENRE_KEYS)
-        .agg(
+def song_shapes(
+    history: DataFrame, weeks: int = WINDOW_WEEKS, windows: DataFrame | None = None, sliced: bool = True, **cohort
+) -> DataFrame:
+    """Climbing songs still seen in week 5 or later: total climb and climb by week 2.
+
+    ``windows`` are stored results of ``operators/windows.py``.
+    """
+    if windows is not None:
+        best = {c: F.min(c).alias(c) for c in ("best", "best_early", "best_late")}
+        measured = stored_cohort(windows, **cohort).groupBy(*GENRE_KEYS).agg(*best.values())
+    else:
+        debuts = debut_cohort(history, weeks=weeks, **cohort).select(*GENRE_KEYS, "debut_date")
+        week, rank = F.col("week_number"), F.col("rank")
+        observed = observation_window(debuts, history, weeks, cohort.get("cutoff"), sliced)
+        measured = observed.groupBy(*GENRE_KEYS).agg(
             F.min(rank).alias("best"),
             F.min(F.when(week <= 2, rank)).alias("best_early"),
             F.min(F.when(week >= 5, rank)).alias("best_late"),
         )
-        .where(F.col("best_early").isNotNull() & F.col("best_late").isNotNull())
+    return (
+        measured.where(F.col("best_early").isNotNull() & F.col("best_late").isNotNull())
         .withColumn("total_climb", F.col("debut_rank") - F.col("best"))
         .withColumn("early_climb", F.col("debut_rank") - F.col("best_early"))
         .where(F.col("total_climb") > 0)
@@ -187,3 +196,19 @@ def artist_recurrence(history: DataFrame, min_songs: int = 2, **options) -> Data
         .withColumn("pattern_type", label)
         .orderBy(F.desc("climbing_songs"), F.desc("avg_climb"), "primary_artist_used")
     )
+
+
+def artist_sketches(history: DataFrame, **options) -> DataFrame:
+    """Climbing artists per family: counted, and estimated from sketches that roll up.
+
+    A sketch of 2^16 registers is kept per (family, month); a family's estimate merges its months'
+    without going back to the artists. Columns: genre_family, distinct_climbing_artists,
+    estimate, relative_error.
+    """
+    grouped = climbs_by_artist(history, **options)
+    monthly = grouped.groupBy("genre_family", "debut_month").agg(F.hll_sketch_agg("primary_artist_used", F.lit(16)).alias("sketch"))
+    rolled = monthly.groupBy("genre_family").agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("estimate"))
+    counted = grouped.groupBy("genre_family").agg(F.count_distinct("primary_artist_used").alias("distinct_climbing_artists"))
+    exact = F.col("distinct_climbing_artists")
+    error = F.when(exact > 0, F.abs(F.col("estimate") - exact) / exact).otherwise(F.col("estimate").cast("double"))
+    return counted.join(rolled, "genre_family").withColumn("relative_error", error)

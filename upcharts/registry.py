@@ -12,6 +12,7 @@ from upcharts.functions.dates import month_start, plus_weeks, weeks_between
 from upcharts.functions.tags import genre_family
 from upcharts.operators import cohort, matching, movement, profile, quality, staging, trajectory
 from upcharts.plans import adhoc, reports
+from upcharts.plans.maintained import maintained
 from upcharts.plans.warehouse import warehouse
 from upcharts.schemas import ARTIST_METADATA
 from upcharts.session import fresh_path, table_path
@@ -118,6 +119,19 @@ def read_metadata(spark, sf_dir):
     return _joined(latest.drop("ingested_at", "row_no"), "tags")
 
 
+@query
+def metadata_row_order(spark, sf_dir):
+    """Versions of a credit in one file, written in order: the later row wins."""
+    versions = sales.metadata_versions(spark, sf_dir)
+    path = fresh_path(spark, "metadata_in_order")
+    ordered = versions.repartition("artist").sortWithinPartitions("artist", "version")
+    ordered.select(ARTIST_METADATA.fieldNames()).write.json(path)
+    stored = snapshots.read_artist_metadata(spark, path, multi_line=False)
+    # files of one write may differ in time, but a credit has one file
+    latest = snapshots.latest_metadata(stored, "row_no")
+    return _joined(latest.drop("ingested_at", "row_no", "error"), "tags")
+
+
 @query
 def staged_files(spark, sf_dir):
     """Weeks told from the paths of staged files."""
@@ -391,6 +405,23 @@ def artist_match(spark, sf_dir):
     return _joined(_matched(spark, sf_dir), "tags")
 
 
+@query
+def name_scores(spark, sf_dir):
+    """Credits against the acts of the whole catalogue, scored by their names."""
+    names = matching.unique_credits(warehouse(spark, sf_dir).entries).select(F.col("artist").alias("name"))
+    acts = sales.act_catalogue(spark, sf_dir).select(F.col("artist").alias("candidate")).distinct()
+    return matching.name_scores(names, acts, threshold=60)
+
+
+@query
+def artist_match_scored(spark, sf_dir):
+    """Credits resolved by computed scores instead of given ones."""
+    credits = matching.unique_credits(warehouse(spark, sf_dir).entries).select(F.col("artist").alias("primary_artist_used"))
+    acts = sales.act_catalogue(spark, sf_dir).withColumnRenamed("artist", "candidate")
+    answers = matching.scored_candidates(credits.select(F.col("primary_artist_used").alias("name")), acts)
+    return matching.match_artists(credits, answers).select("primary_artist_used", "status", "score", "mbid", "found")
+
+
 @query
 def match_status(spark, sf_dir):
     return matching.match_status(_matched(spark, sf_dir))
@@ -505,6 +536,62 @@ def tag_clusters(spark, sf_dir):
     return profile.tag_clusters(_tagged_songs(spark, sf_dir))
 
 
+# --- the same results from tables that are kept up to date ---------------------------
+
+
+def on_windows(name: str, report: Callable[..., DataFrame]) -> None:
+    """Register a report that reads stored window results instead of the history."""
+    QUERIES[f"{name}_maintained"] = lambda spark, sf_dir: report(None, windows=maintained(spark, sf_dir).window_results(spark))
+
+
+for _name in ("genre_climb", "genre_family_climb", "recurrence_summary", "trajectory_shape", "artist_recurrence"):
+    on_windows(_name, getattr(reports, _name))
+
+
+@query
+def movement_baseline_maintained(spark, sf_dir):
+    return movement.stored_baseline(maintained(spark, sf_dir).delta_histograms(spark))
+
+
+@query
+def genre_delta_robust_maintained(spark, sf_dir):
+    return movement.stored_delta_robust(maintained(spark, sf_dir).delta_histograms(spark))
+
+
+@query
+def genre_delta_ci_maintained(spark, sf_dir):
+    return movement.stored_delta_ci(maintained(spark, sf_dir).delta_histograms(spark))
+
+
+def _by_song(spark: SparkSession, sf_dir: str) -> DataFrame:
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return loads.write_by_song(warehouse(spark, sf_dir).history, fresh_path(spark, "history_by_song"), buckets)
+
+
+def on_buckets(name: str, report: Callable[..., DataFrame]) -> None:
+    """Register a report over a history bucketed by song, whose rows are not shuffled."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        base = warehouse(spark, sf_dir)
+        return report(_by_song(spark, sf_dir), debuts=base.debuts, cutoff=base.cutoff, sliced=False)
+
+    QUERIES[f"{name}_bucketed"] = run
+
+
+on_buckets("genre_climb", reports.genre_climb)
+on_buckets("recurrence_summary", reports.recurrence_summary)
+on_buckets("trajectory_shape", reports.trajectory_shape)
+
+
+def _sketched(history: DataFrame, **options) -> DataFrame:
+    """The estimates differ from engine to engine; that they hold is the same everywhere."""
+    counted = reports.artist_sketches(history, **options)
+    return counted.select("genre_family", "distinct_climbing_artists", (F.col("relative_error") < 0.02).alias("within_two_percent"))
+
+
+on_debuts("artist_sketches", _sketched)
+
+
 # --- trajectories ------------------------------------------------------------------
 
 
@@ -555,3 +642,22 @@ def adhoc_select(spark, sf_dir):
         SELECT chart_date, n, debuts FROM weekly ORDER BY n DESC, chart_date -- busiest weeks
         """,
     )
+
+
+@query
+def adhoc_outcomes(spark, sf_dir):
+    """How the ad-hoc surface answers good, empty, wrong and forbidden statements on the history."""
+    warehouse(spark, sf_dir).history.createOrReplaceTempView("chart_history")
+    statements = {
+        "all rows": "  SELECT * FROM chart_history;",
+        "lower case": "select chart_date, count(*) from chart_history group by chart_date",
+        "with": "WITH h AS (SELECT rank FROM chart_history) SELECT max(rank) FROM h",
+        "no rows": "SELECT * FROM chart_history WHERE rank < 0",
+        "no such column": "SELECT position FROM chart_history",
+        "a command": "DROP VIEW chart_history",
+        "two statements": "SELECT 1 FROM chart_history; DROP VIEW chart_history",
+        "a file": f"SELECT * FROM parquet.`{table_path(sf_dir, 'part')}`",
+        "a call": "SELECT reflect('java.lang.System', 'nanoTime') FROM chart_history",
+    }
+    found = [(name, adhoc.run_query(spark, text).status) for name, text in statements.items()]
+    return spark.createDataFrame(found, "statement string, status string")

@@ -1,5 +1,7 @@
 """Staged weeks, the chart_history table, and its load bookkeeping."""
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,6 +53,19 @@ def load_gated(df: DataFrame, path: str, quarantine: str, load: str) -> table.Wr
     return table.write_gated(materialise(marked, "gated"), "reasons", path, quarantine, load)
 
 
+def write_by_song(history: DataFrame, path: str, buckets: int) -> DataFrame:
+    """Store the history bucketed and sorted by song, and read it so.
+
+    Joins and aggregates on (title, artist) then leave its rows where they are. Take
+    as many buckets as shuffle partitions would be needed for it.
+    """
+    spark = history.sparkSession
+    name = "chart_history_" + hashlib.md5(path.encode()).hexdigest()
+    rows = history.repartition(buckets, "title", "artist").write.bucketBy(buckets, "title", "artist")
+    rows.sortBy("title", "artist", "chart_date").option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 def export_ndjson(df: DataFrame, path: str) -> None:
     """Newline-delimited JSON that keeps keys whose value is null."""
     df.write.option("ignoreNullFields", "false").json(path)

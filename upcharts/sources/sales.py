@@ -176,6 +176,15 @@ def artist_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def act_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every act once: artist, artist_id (the least of its parts) and tags."""
+    acts = spark.read.parquet(table_path(sf_dir, "part")).select(
+        _lead_act().alias("artist"), F.col("p_partkey").alias("key"), _act_tags().alias("tags")
+    )
+    first = acts.groupBy("artist").agg(F.min(F.struct("key", "tags")).alias("first"))
+    return first.select("artist", F.concat(F.lit("id-"), F.col("first.key").cast("string")).alias("artist_id"), "first.tags")
+
+
 def metadata_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Artist metadata with repeated credits: one version per part, in key order."""
     key = F.col("p_partkey")

@@ -13,7 +13,9 @@ The list has a row per load and week: bookkeeping that the driver reads. Writers
 """
 
 import uuid
+from collections.abc import Iterable
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
@@ -83,24 +85,39 @@ def _stored_rows(spark: SparkSession, folder: str) -> dict[str, int]:
     return {r["folder"]: r["count"] for r in spark.read.parquet(folder).groupBy(named.alias("folder")).count().collect()}
 
 
-def publish(spark: SparkSession, path: str, written: Written, replace: bool) -> None:
-    """Make a staged load visible by one new version of the live list."""
+def week_folder(week: date | None) -> str:
+    return f"chart_date={'__HIVE_DEFAULT_PARTITION__' if week is None else week}"
+
+
+def live_weeks(spark: SparkSession, path: str) -> list[date]:
+    """The weeks the table holds, from the list alone."""
+    names = {r["folder"].removeprefix("chart_date=") for r in live_list(spark, path) if r["live"]}
+    return sorted(date.fromisoformat(n) for n in names if n[0].isdigit())
+
+
+def publish(spark: SparkSession, path: str, written: Written, replace: bool, hide: Iterable[date | None] = ()) -> None:
+    """Make a staged load visible by one new version of the live list.
+
+    It hides the weeks it brings, if it replaces, and those of ``hide``.
+    """
     stored = _stored_rows(spark, f"{path}/load={written.load}")
     if sum(stored.values()) != written.rows:
         raise RuntimeError(f"load {written.load}: {written.rows} rows were written, {sum(stored.values())} are stored")
-    hidden = set(stored) if replace else set()
+    hidden = (set(stored) if replace else set()) | {week_folder(w) for w in hide}
     old = [(r["load"], r["folder"], r["rows"], r["live"] and r["folder"] not in hidden) for r in live_list(spark, path)]
     new = [(written.load, "", written.rows, False), *[(written.load, folder, n, True) for folder, n in sorted(stored.items())]]
     write_version(spark.createDataFrame([*old, *new], LIVE), f"{path}/_live")
 
 
-def write_load(df: DataFrame, path: str, load: str | None = None, replace: bool = False) -> Written | None:
+def write_load(
+    df: DataFrame, path: str, load: str | None = None, replace: bool = False, hide: Iterable[date | None] = ()
+) -> Written | None:
     """Stage and publish ``df``; nothing happens if ``load`` was applied before."""
     spark = df.sparkSession
     if load is not None and is_applied(spark, path, load):
         return None
     written = stage(df, path, load or f"w{uuid.uuid4().hex[:16]}")
-    publish(spark, path, written, replace)
+    publish(spark, path, written, replace, hide)
     return written
 
 
