@@ -72,3 +72,17 @@ def test_changed_words_stay_features_as_given():
     assert restorer.texts(*_bytes("ass"))[0].tobytes() == b"as"
     found = set(toxicity.word_features(*restorer.texts(*_bytes("ass"), given=True))[1].tolist())
     assert _features("ass") <= found and _features("as") <= found
+
+
+def test_very_long_stretches_take_time_in_proportion():
+    import time
+
+    random = np.random.default_rng(2)
+    model = np.log(random.dirichlet(np.ones(28), (28, 28))).tolist()
+    seconds = []
+    for n in (50_000, 400_000):
+        text = "".join(random.choice(list("abcd0123XYZ+/"), n))
+        began = time.process_time()
+        assert len(toxicity.decode(text, model)) > n // 2
+        seconds.append(time.process_time() - began)
+    assert seconds[1] < 16 * seconds[0] + 1

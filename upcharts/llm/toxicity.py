@@ -146,8 +146,12 @@ def _coded(char: str, run: int, spaced: bool, last: bool) -> list[tuple[str, lis
 
 
 def decode(stretch: str, model: list) -> str:
-    """The best reading of an obfuscated stretch, in lower case; ``model`` as nested lists."""
-    paths = {(0, 0): (0.0, "")}
+    """The best reading of an obfuscated stretch, in lower case; ``model`` as nested lists.
+
+    A path is its last reading with a pointer to the path before it, so a step costs the
+    same wherever in the stretch it is.
+    """
+    paths: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
     low = stretch.lower()
     chains = iter([m.span() for m in _CHAIN.finditer(low)])
     begin, end = next(chains, (len(low), len(low)))
@@ -157,17 +161,27 @@ def decode(stretch: str, model: list) -> str:
             begin, end = next(chains, (len(low), len(low)))
         spaced = begin < m.start() < end and not char.isalnum()
         readings = _coded(char, min(run, 3), spaced, m.end() == len(low))
-        nearer: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (score, text) in paths.items():
+        nearer: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        for (a, b), (score, path) in paths.items():
             for reading, codes, cost in readings:
                 x, y, total = a, b, score + cost
                 for z in codes:
                     total += model[x][y][z]
                     x, y = y, z
                 if (x, y) not in nearer or nearer[x, y][0] < total:
-                    nearer[x, y] = (total, text + reading)
+                    nearer[x, y] = (total, (path, reading))
         paths = nearer
-    return max((score + model[a][b][0], text) for (a, b), (score, text) in paths.items())[1]
+    ends = [(score + model[a][b][0], path) for (a, b), (score, path) in paths.items()]
+    best = max(score for score, _ in ends)
+    return max(_text_of(path) for score, path in ends if score == best)
+
+
+def _text_of(path: tuple | None) -> str:
+    readings = []
+    while path is not None:
+        path, reading = path
+        readings.append(reading)
+    return "".join(reversed(readings))
 
 
 def suspicious(data: np.ndarray) -> list[tuple[int, int]]:
