@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from upcharts.llm.positions import in_blocks, running_sums
 from upcharts.llm.ship import in_tasks
+from upcharts.session import materialise
 
 SHARE, WORD, LEAST = 20, 8, 6
 SHORT = 20
@@ -266,7 +267,14 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_B
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of ``docs`` that hold no item, with all their columns."""
-    for block in item_blocks(benchmark, block_bytes):
+    """The rows of ``docs`` that hold no item, with all their columns.
+
+    With several blocks of items, the rows are stored between them, so a task runs one
+    Python worker and holds one block.
+    """
+    blocks = item_blocks(benchmark, block_bytes)
+    for number, block in enumerate(blocks, 1):
         docs = in_tasks(docs, _clean(block), docs.schema)
+        if number < len(blocks):
+            docs = materialise(docs, "clean_rows")
     return docs
