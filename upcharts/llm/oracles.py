@@ -154,3 +154,22 @@ REPAIR = r"""
         LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM ids.conv_id
         LEFT JOIN b ON b.conv_id IS NOT DISTINCT FROM ids.conv_id AND b.place = 1
 """.replace("STEP", _step())
+
+
+#: repeated windows of 35 words: each window as one string, its count, and the words it covers
+REPEATS = r"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        windows AS (
+          SELECT doc_id, i, md5(array_to_string(words[i:i + 34], ' ')) AS h FROM w, unnest(range(1, len(words) - 33)) AS t(i)
+        ),
+        repeated AS (SELECT doc_id, i FROM windows WHERE h IN (SELECT h FROM windows GROUP BY h HAVING count(*) > 1)),
+        gone AS (SELECT DISTINCT doc_id, i + k AS place FROM repeated, unnest(range(35)) AS t(k)),
+        placed AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM w),
+        kept AS (
+          SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS text
+          FROM placed ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id
+        )
+        SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+          sha256(coalesce(kept.text, '')) AS kept_sha256
+        FROM w LEFT JOIN kept USING (doc_id)
+"""

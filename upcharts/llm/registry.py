@@ -159,6 +159,7 @@ ORACLE: dict[str, str] = {
         SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id IS NOT DISTINCT FROM g.keep_id AS kept, sha256(body) AS text_sha256
         FROM d JOIN g USING (body)
     """,
+    "op7_substring_dedup": oracles.REPEATS,
     "op8_near_dedup": oracles.similar(4, 80, ", s.doc_id = component_id AS kept"),
     "op11_conversation_repair": oracles.REPAIR,
     "op12_ngram_join": oracles.similar(3, 90),
