@@ -51,3 +51,40 @@ def test_lookup_equals_map_then_fan_out(spark):
     assert direct.columns == separate.columns
     assert sorted(map(repr, direct.collect())) == sorted(map(repr, separate.collect()))
     assert {r.artist: r.mbid for r in direct.collect()} == {"A": "i1", "A & B": "i1", "A, C": "i1", "D": None}
+
+
+def _plain_scores(names, catalogue, threshold):
+    def grams(x):
+        x = f"  {x.strip(' ').lower()}  "
+        return {x[i : i + 3] for i in range(len(x) - 2)}
+
+    scores = {(n, c): 200 * len(grams(n) & grams(c)) // (len(grams(n)) + len(grams(c))) for n in names for c in catalogue}
+    return {(*pair, score) for pair, score in scores.items() if score >= threshold}
+
+
+def test_names_are_compared_block_by_block(spark, monkeypatch):
+    """Common grams join no rows: each pair meets once, in the task of its two blocks."""
+    monkeypatch.setattr(matching, "NAME_BLOCK", 8)
+    monkeypatch.setattr(matching, "CANDIDATE_BLOCK", 5)
+    names = [f"Brand#{i % 4} Act {i * 7}{' & Friends' if i % 3 == 0 else ''}" for i in range(60)] + ["", "x"]
+    catalogue = [f"Brand#{i % 5} Act {i * 3}" for i in range(40)] + ["X", "y"]
+    for threshold in (30, 60, 80, 100):
+        got = matching.name_scores(
+            spark.createDataFrame([(n,) for n in [*names, *names]], "name string"), spark.createDataFrame([(c,) for c in [*catalogue, None]], "candidate string"), threshold
+        )
+        pairs = [tuple(r) for r in got.collect()]
+        assert len(pairs) == len(set(pairs)) and set(pairs) == _plain_scores(names, catalogue, threshold)
+
+
+def test_best_answers_only(spark):
+    """Names whose grams a candidate has are answered without a search; outcomes stay the same."""
+    names = spark.createDataFrame([(n,) for n in ("The Beatles", "the beatles ", "The Beatlez", "Queen", "Nobody", None)], "name string")
+    catalogue = spark.createDataFrame(
+        [("The Beatles", "id-2", ["rock"]), ("THE BEATLES", "id-1", None), ("The Beatless", "id-0", ["pop"]), ("Queens", "id-3", ["rock"]), (None, "id-9", ["rock"])],
+        "candidate string, artist_id string, tags array<string>",
+    )
+    asked = names.withColumnRenamed("name", "primary_artist_used")
+    answers = [matching.scored_candidates(names, catalogue, 70, best_only=best) for best in (False, True)]
+    every, best = [{tuple(map(str, r)) for r in matching.match_artists(asked, a, 70).collect()} for a in answers]
+    assert every == best and len(every) == 6
+    assert {(r.name, r.artist_id, r.score) for r in answers[1].collect() if r.name == "The Beatles"} == {("The Beatles", "id-2", 100), ("The Beatles", "id-1", 100)}
