@@ -9,6 +9,8 @@ from upcharts.operators import cohort, profile
 from upcharts.plans import reports
 from upcharts.plans.warehouse import warehouse
 from upcharts.registry import QUERIES
+from upcharts.session import list_folder
+from upcharts.sources import history as loads
 
 
 def plan(df) -> str:
@@ -98,3 +100,20 @@ def test_join_key_is_sliced_by_time(spark, sf_dir):
     base = warehouse(spark, sf_dir)
     text = plan(cohort.best_rank(base.history, debuts=base.debuts, cutoff=base.cutoff))
     assert "time_slice" in text
+
+
+@pytest.mark.parametrize("name", ["ndjson_roundtrip", "stream_load", "stream_then_append"])
+def test_exports_write_the_history_as_it_lies(spark, sf_dir, monkeypatch, name):
+    """Its files hold whole weeks already, so the export needs no shuffle; the files are gzipped."""
+    exported, plain = [], loads.export_ndjson
+
+    def export(df, path):
+        exported.append(path)
+        assert "Exchange" not in plan(df)
+        plain(df, path)
+
+    monkeypatch.setattr(loads, "export_ndjson", export)
+    QUERIES[name](spark, sf_dir)
+    (path,) = exported
+    files = [f for f in list_folder(spark, path) if f.startswith("part-")]
+    assert files and all(f.endswith(".json.gz") for f in files)
