@@ -24,6 +24,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from upcharts.llm.prefilter import marked
 from upcharts.session import materialise
 
 ROWS_PER_BUCKET = 1 << 20
@@ -117,6 +118,8 @@ def drop_copies(docs: DataFrame, path: str, buckets: int | None = None, batches:
     decided = dedup_against(docs, path, buckets, batches)
     gone = materialise(decided.where("NOT kept").select("doc_id", F.unhex("text_sha256").alias("digest")).distinct(), "dropped_copies")
     # the rows stand in a struct of their own, so that none of their columns can clash
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("of"), digest_of().alias("held"))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("of"))
+    rows = marked(rows, gone.select(F.col("doc_id").alias("of")), ["of"])
+    maybe = rows.where("_maybe").select("row", "of", digest_of("row.text").alias("held"))
     same = F.col("of").eqNullSafe(F.col("doc_id")) & (F.col("held") == F.col("digest"))
-    return rows.join(gone, same, "left_anti").select("row.*")
+    return rows.where("NOT _maybe").select("row.*").union(maybe.join(gone, same, "left_anti").select("row.*"))

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from upcharts.llm.components import components
+from upcharts.llm.prefilter import marked
 from upcharts.llm.ship import in_tasks
 from upcharts.llm.text import NULL_ID, mix, run_hashes, text_slices, words_of
 from upcharts.session import materialise
@@ -149,7 +150,10 @@ def group_links(members: DataFrame, classes: DataFrame, texts: DataFrame, shingl
     pairs = members.join(buckets, ["kind", "bucket"]).where("rep != leader").select("kind", "leader", "rep")
     pairs = materialise(pairs.distinct(), "led_classes")
     used = pairs.select("rep").union(pairs.select("leader")).distinct()
-    held = classes.join(used, "rep", "left_semi").join(texts, ["_id", "_check"]).dropDuplicates(["rep"]).drop("_id", "_check")
+    wanted = materialise(classes.join(used, "rep", "left_semi"), "wanted_classes")
+    # most texts belong to no class of a bucket; they are not shuffled
+    maybe = marked(texts, wanted, ["_id", "_check"]).where("_maybe").drop("_maybe")
+    held = wanted.join(maybe, ["_id", "_check"]).dropDuplicates(["rep"]).drop("_id", "_check")
     held = materialise(held, "classes_in_buckets")
 
     def with_leaders(some: DataFrame) -> DataFrame:

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from upcharts.llm.groups import Filter, digest, document_groups, group_links, labelled, set_classes, shingle_sets
+from upcharts.llm.prefilter import marked
 from upcharts.llm.ship import in_tasks
 from upcharts.llm.text import mix, row_key, signed
 from upcharts.session import materialise
@@ -144,7 +145,10 @@ def drop_near_copies(docs: DataFrame, percent: int = PERCENT, shingle: int = STA
     sketches, classes, links = _linked_classes(docs, percent, shingle)
     worded = labelled(classes, links).select("least._id", "least._check").distinct()
     wordless = sketches.where("n = 0").select("_id", "_check")
-    kept = worded.union(wordless).distinct()
+    # fewer rows go than stay, so whole rows meet those that go
+    key = ["_id", "_check"]
+    gone = materialise(sketches.select(*key).distinct().join(worded.union(wordless), key, "left_anti"), "near_copies")
     # the rows stand in a struct of their own, so that none of their columns can clash
-    rows = docs.select(F.struct("*").alias("row"), *row_key())
-    return rows.join(kept, ["_id", "_check"], "left_semi").select("row.*")
+    rows = marked(docs.select(F.struct("*").alias("row"), *row_key()), gone, key)
+    maybe = rows.where("_maybe").join(gone, key, "left_anti")
+    return rows.where("NOT _maybe").select("row.*").union(maybe.select("row.*"))
