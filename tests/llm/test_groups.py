@@ -96,6 +96,37 @@ def test_sketch_distance_never_exceeds_the_difference():
                 assert len(np.intersect1d(layout.keys(a, low), layout.keys(b, low)))
 
 
+def random_sets(seed, sets, n):
+    random = np.random.default_rng(seed)
+    return [np.unique(random.integers(0, 1 << 64, n, dtype=np.uint64)) for _ in range(sets)]
+
+
+def test_unrelated_sets_share_no_key():
+    """Parts that are almost empty, or whose sketches look alike, would bring more sets together the larger the table is."""
+    layout = parity_join.Layout(90)
+    keys = [layout.keys(s, layout.band(150)) for s in random_sets(3, 3000, 150)]
+    assert {len(k) for k in keys} == {layout.apart(layout.band(150)) + 1}
+    flat = np.concatenate(keys)
+    assert len(np.unique(flat)) == len(flat)
+
+
+def test_sets_at_the_limit_share_a_key():
+    """As many shingles as may differ, most of them in the fullest parts of one set."""
+    layout = parity_join.Layout(90)
+    for n in (10, 40, 60, 150, 600):
+        for a in random_sets(n, 20, n):
+            band = layout.band(n)
+            part = layout.part(a, band)
+            full = np.argsort(-np.bincount(part.astype(np.int64), minlength=layout.parts(band)), kind="stable")
+            # one shingle of each part, from the fullest on, as long as the sets still link
+            gone = [int(np.flatnonzero(part == p)[0]) for p in full.tolist() if (part == p).any()][: n // 10]
+            b = np.delete(a, gone)
+            assert 100 * len(b) >= 90 * len(a)
+            low = layout.band(len(b))
+            assert low in (band - 1, band)
+            assert len(np.intersect1d(layout.keys(a, low), layout.keys(b, low)))
+
+
 def test_columns_with_inner_names_stay(spark):
     rows = [(*r, 1, 2, "x", 3, 4, 5, 6) for r in messy.messy_rows()]
     docs = spark.createDataFrame(rows, messy.CLASHING)

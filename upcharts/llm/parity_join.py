@@ -8,14 +8,19 @@ sequence as one). Documents link when 100 * intersection >= percent * union.
    of its own band with the next one, and of the band before with its own.
 2. Linked sets of a and b shingles differ in at most (a + b)(100 - percent)/(100 + percent)
    of them; d is the largest such number of a band. The shingle hashes are dealt over
-   d + 1 parts of 64 bits; each flips one bit of its part. Two sketches differ in
-   at most as many bits as the sets differ in shingles, so at least one part of linked
-   sets is equal: the parts are the join's keys (pigeonhole). Where d is 4 or less, parts
-   hold few shingles; then there are d + 2 parts, of which two must agree, and keys are
-   pairs of parts. The keys lose no link, whatever the data.
+   d + 1 + s parts, so linked sets hold the same shingles in at least 1 + s of them
+   (pigeonhole). The keys are the d + 1 parts with the most shingles: of the equal parts
+   the fullest has s others before it in either set, so it is a key of both. Where d is
+   4 or less, there are d + 2 parts, of which two must agree, and keys are pairs of parts.
+   The keys lose no link, whatever the data.
+   A key is 64 parities, each over a random half of the part's shingles. Parts that only
+   look alike would meet the more often the larger the table is, and so would parts that
+   are (almost) empty; the former do not occur, and s leaves out the latter.
 3. Documents with equal sets are one class. Classes that share a key meet in the
-   groups of ``groups.py``: pairs whose sketches differ in more than d bits, or in more
-   than their sizes allow, are left out, the others are verified on whole sets.
+   groups of ``groups.py``. There a sketch has 64 bits a part, and each shingle flips one
+   bit of its part, so two sketches differ in at most as many bits as the sets differ in
+   shingles: pairs whose sketches differ in more bits than their sizes allow are left
+   out, the others are verified on whole sets.
 
 Null or wordless texts are linked with nothing. Rows that share a doc_id count as one
 node, null doc_ids too. Repeated rows all appear in the result. Other columns are
@@ -68,27 +73,39 @@ class Layout:
         largest = int(self.bounds[band + 1]) - 1
         return most_apart(largest, largest * 100 // self.percent, self.percent)
 
+    def spare(self, band: int) -> int:
+        """How many of the parts, the emptiest of a set, are no keys."""
+        d = self.apart(band)
+        return 1 + d // 8 if d > FEW else 0
+
     def parts(self, band: int) -> int:
         d = self.apart(band)
-        return d + 2 if 0 < d <= FEW else d + 1
+        return d + 2 if 0 < d <= FEW else d + 1 + self.spare(band)
+
+    def part(self, values: np.ndarray, band: int) -> np.ndarray:
+        """The part of each shingle; ascending, if the shingles are."""
+        return ((values >> np.uint64(32)) * np.uint64(self.parts(band))) >> np.uint64(32)
 
     def sketch(self, values: np.ndarray, band: int) -> np.ndarray:
         """The parities of the shingles that fall on each bit, 64 bits a part."""
         parts = self.parts(band)
-        part = ((values >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-        place = part * np.uint64(64) + (values & np.uint64(63))
+        place = self.part(values, band) * np.uint64(64) + (values & np.uint64(63))
         odd = np.bincount(place.astype(np.int64), minlength=64 * parts).astype(np.uint8) & 1
         return np.packbits(odd, bitorder="little").view(np.uint64)
 
     def keys(self, values: np.ndarray, band: int) -> np.ndarray:
-        """Hashes of the parts, or pairs of parts, one of which linked sets share."""
+        """Hashes of the fullest parts, or of pairs of parts, one of which linked sets share; ``values`` ascend."""
         d = self.apart(band)
         if d == 0:
             # only equal sets link, and they are one class
             return np.empty(0, np.uint64)
-        words = self.sketch(values, band)
+        bounds = np.searchsorted(self.part(values, band), np.arange(self.parts(band) + 1, dtype=np.uint64))
+        parities = np.concatenate((np.zeros(1, np.uint64), np.bitwise_xor.accumulate(mix(values))))[bounds]
+        words = parities[1:] ^ parities[:-1]
         if d > FEW:
-            return mix(words ^ mix(np.arange(1, len(words) + 1, dtype=np.uint64)))
+            # among parts of the same size, the first ones come first in every set
+            fullest = np.argsort(np.diff(bounds), kind="stable")[self.spare(band) :]
+            return mix(words[fullest] ^ mix((fullest + 1).astype(np.uint64)))
         one, two = (np.array(side) for side in zip(*combinations(range(len(words)), 2), strict=True))
         return mix(mix(words[one] ^ mix((one * 8 + two + 1).astype(np.uint64))) + words[two])
 
