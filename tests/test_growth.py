@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import DEBUT, rows
-from upcharts import registry
+from upcharts import registry, session
 from upcharts.operators import cohort, quality, staging
+from upcharts.plans import warehouse
 from upcharts.plans.warehouse import cluster_by_week
 from upcharts.session import list_folder, materialise
 from upcharts.sources import history as loads
@@ -69,3 +70,55 @@ def test_buckets_follow_the_rows(spark, sf_dir, monkeypatch):
     stored = registry._by_song(spark, sf_dir)
     count = stored.count()
     assert count > 8 * 300 and f"SelectedBucketsCount: {-(-count // 300)} out of" in stored.groupBy("title", "artist").count()._jdf.queryExecution().executedPlan().toString()
+
+
+def sales_tables(spark, folder):
+    """Lineitem and part: 2,000 lines of 40 parts."""
+    part = spark.range(1, 41).select(
+        F.col("id").alias("p_partkey"),
+        F.concat(F.lit("red "), F.when(F.col("id") % 2 == 0, "ring").otherwise("cap")).alias("p_name"),
+        F.when(F.col("id") % 3 == 0, "PROMO").otherwise("STANDARD").alias("p_type"),
+        F.concat(F.lit("Brand#1"), (F.col("id") % 5).cast("string")).alias("p_brand"),
+        (F.col("id") % 50).cast("int").alias("p_size"),
+    )
+    lines = spark.range(2000).select(
+        (F.col("id") * 7 % 40 + 1).alias("l_partkey"),
+        (F.col("id") % 13).cast("double").alias("l_quantity"),
+        F.date_add(F.lit("1996-01-01").cast("date"), (F.col("id") % 700).cast("int")).cast("timestamp").alias("l_shipdate"),
+    )
+    part.write.parquet(f"{folder}/part.parquet")
+    lines.write.parquet(f"{folder}/lineitem.parquet")
+    return str(folder)
+
+
+def test_tasks_of_the_warehouse_follow_the_rows(spark, tmp_path, monkeypatch):
+    folder, shuffles, store = sales_tables(spark, tmp_path), [], materialise
+
+    def planned(df, name):
+        text = df._jdf.queryExecution().executedPlan().toString()
+        shuffles.extend(int(n) for n in re.findall(r"Exchange hashpartitioning\([^\n]*?, (\d+)\)", text))
+        return store(df, name)
+
+    keys = "spark.sql.shuffle.partitions", "spark.sql.files.minPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    settings = [spark.conf.get(k, None) for k in keys]
+    plain = warehouse.build_warehouse(spark, folder)
+    monkeypatch.setattr(session, "ROWS_PER_TASK", 100)
+    for module in (warehouse, staging):
+        monkeypatch.setattr(module, "materialise", planned)
+    built = warehouse.build_warehouse(spark, folder)
+    assert shuffles and set(shuffles) == {20}
+    assert [spark.conf.get(k, None) for k in keys] == settings
+    for stored in ("entries", "metadata", "history", "debuts"):
+        assert rows(getattr(built, stored)) == rows(getattr(plain, stored))
+    assert built.cutoff == plain.cutoff
+
+
+def test_sized_jobs_keep_larger_settings(spark):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "5MB")
+    try:
+        with session.sized_for(spark, 3 * session.ROWS_PER_TASK):
+            assert spark.conf.get("spark.sql.shuffle.partitions") == "8" and spark.conf.get(key) == "5MB"
+        assert spark.conf.get(key) == "5MB"
+    finally:
+        spark.conf.unset(key)
