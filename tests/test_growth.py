@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import DEBUT, rows
 from upcharts import registry, session
-from upcharts.operators import cohort, quality, staging
+from upcharts.operators import cohort, matching, quality, staging
 from upcharts.plans import warehouse
 from upcharts.plans.warehouse import cluster_by_week
 from upcharts.session import list_folder, materialise
@@ -122,3 +122,30 @@ def test_sized_jobs_keep_larger_settings(spark):
         assert spark.conf.get(key) == "5MB"
     finally:
         spark.conf.unset(key)
+
+
+def test_name_scores_shuffle_no_pairs(spark, monkeypatch):
+    """Blocks meet where they lie: nothing is copied for every block of the other side."""
+    monkeypatch.setattr(matching, "NAME_BLOCK", 20)
+    monkeypatch.setattr(matching, "CANDIDATE_BLOCK", 20)
+    names = spark.range(100).select(F.concat(F.lit("act "), "id").alias("name"))
+    got = matching.name_scores(names, names.withColumnRenamed("name", "candidate"), 20)
+    plan = final_plan(got)
+    assert "CartesianProduct" in plan and "Broadcast" not in plan and by_hash(plan) == 0
+    assert got.select("name").distinct().count() == 100
+
+
+def test_name_scores_write_names_together(spark, monkeypatch):
+    """A task has a bounded number of texts and returns them name by name, so that files hold each once."""
+    monkeypatch.setattr(matching, "BLOCK_CHARACTERS", 1000)
+    names = spark.range(200).select(F.concat(F.lit("one act with a long name "), "id").alias("name"))
+    got = matching.name_scores(names, names.withColumnRenamed("name", "candidate"), 50)
+    tasks: dict[int, list] = {}
+    for r in got.withColumn("task", F.spark_partition_id()).collect():
+        tasks.setdefault(r.task, []).append((r.name, r.candidate))
+    assert sum(map(len, tasks.values())) == 200 * 200
+    for pairs in tasks.values():
+        changes = 1 + sum(a[0] != b[0] for a, b in zip(pairs, pairs[1:]))
+        assert changes == len({n for n, _ in pairs})
+        for side in zip(*pairs):
+            assert sum(map(len, set(side))) < 2500

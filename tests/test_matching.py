@@ -76,6 +76,26 @@ def test_names_are_compared_block_by_block(spark, monkeypatch):
         assert len(pairs) == len(set(pairs)) and set(pairs) == _plain_scores(names, catalogue, threshold)
 
 
+def test_names_of_any_length_and_grams_of_any_size(spark, monkeypatch):
+    """Counts over 255, grams of one letter, rows of common grams that do not fit and batches of few pairs change nothing."""
+    monkeypatch.setattr(matching, "PAIRS_AT_ONCE", 7)
+    long = "".join(chr(0x4E00 + i) for i in range(700))
+    names = ["", " ", "a", "ab", "Ab ", "abba", "b\u00e9b\u00e9 \U0001f600", long, long[:300], long[:253], "x" * 400]
+    catalogue = ["", "A", "ba", "abb", "B\u00c9B\u00c9 \U0001f600", long[:690], long[100:], "xx"]
+
+    def grams(x, q):
+        x = " " * (q - 1) + x.strip(" ").lower() + " " * (q - 1)
+        return {x[i : i + q] for i in range(len(x) - q + 1)} or {""}
+
+    for q, threshold, room in ((1, 50, 1 << 20), (2, 30, 0), (3, 1, 1 << 20), (3, 80, 100), (4, 0, 1 << 20)):
+        monkeypatch.setattr(matching, "DENSE_BYTES", room)
+        got = matching.name_scores(spark.createDataFrame([(n,) for n in names], "name string"), spark.createDataFrame([(c,) for c in catalogue], "candidate string"), threshold, q)
+        pairs = [(n, c, grams(n, q), grams(c, q)) for n in names for c in catalogue]
+        expected = {(n, c, 200 * len(a & b) // (len(a) + len(b))) for n, c, a, b in pairs if a & b and 200 * len(a & b) >= threshold * (len(a) + len(b))}
+        rows = [tuple(r) for r in got.collect()]
+        assert len(rows) == len(set(rows)) and set(rows) == expected
+
+
 def test_best_answers_only(spark):
     """Names whose grams a candidate has are answered without a search; outcomes stay the same."""
     names = spark.createDataFrame([(n,) for n in ("The Beatles", "the beatles ", "The Beatlez", "Queen", "Nobody", None)], "name string")
