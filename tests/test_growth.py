@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame
 from pyspark.sql import functions as F
 
 from tests.conftest import DEBUT, rows
@@ -124,15 +125,17 @@ def test_sized_jobs_keep_larger_settings(spark):
         spark.conf.unset(key)
 
 
-def test_name_scores_shuffle_no_pairs(spark, monkeypatch):
-    """Blocks meet where they lie: nothing is copied for every block of the other side."""
-    monkeypatch.setattr(matching, "NAME_BLOCK", 20)
-    monkeypatch.setattr(matching, "CANDIDATE_BLOCK", 20)
-    names = spark.range(100).select(F.concat(F.lit("act "), "id").alias("name"))
-    got = matching.name_scores(names, names.withColumnRenamed("name", "candidate"), 20)
-    plan = final_plan(got)
-    assert "CartesianProduct" in plan and "Broadcast" not in plan and by_hash(plan) == 0
-    assert got.select("name").distinct().count() == 100
+def test_name_scores_shuffle_packed_blocks(spark, monkeypatch):
+    """What meets is a row for each block and other block, a few bytes a text, not a row for each text."""
+    monkeypatch.setattr(matching, "NAME_BLOCK", 1000)
+    monkeypatch.setattr(matching, "CANDIDATE_BLOCK", 500)
+    met, compared = [], DataFrame.mapInArrow
+    monkeypatch.setattr(DataFrame, "mapInArrow", lambda df, *a, **k: (met.append(df), compared(df, *a, **k))[1])
+    names = spark.range(2000).select(F.concat(F.lit("an act "), "id").alias("name"))
+    got = matching.name_scores(names, names.withColumnRenamed("name", "candidate"), 90)
+    assert by_hash(final_plan(got)) == 0
+    assert met[-1].count() == 2 * 2 * 4 and 10 * met[-1].agg(F.max(F.length("data"))).first()[0] < 1000 * 200
+    assert got.select("name").distinct().count() == 2000
 
 
 def test_name_scores_write_names_together(spark, monkeypatch):
